@@ -9,6 +9,7 @@ refers to these names.
 SPACE_CLASS = "\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 INLINE_SPACE_CLASS = "\t\x1f\x20\xa0\u1680\u2000-\u200a\u202f\u205f\u3000"
 LINE_BREAK_CLASS = "\n-\r\x1c-\x1e\x85\u2028\u2029"
+RARE_SPACE_CLASS = "\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPACE_CHARS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004"
     "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"

@@ -17,6 +17,25 @@ WS = f"[{K.SPACE_CLASS}]"
 NOT_WS = f"[^{K.SPACE_CLASS}]"
 INLINE_WS = f"[{K.INLINE_SPACE_CLASS}]"
 LINE_BREAK = f"\r\n|[{K.LINE_BREAK_CLASS}]"
+# Most text has no whitespace but blanks and line feeds. One cheap look for any
+# other kind lets every pattern below use a two-character class instead.
+NOT_PLAIN = "[^\n -~]"
+RARE_SPACE = f"(?={NOT_PLAIN})[{K.RARE_SPACE_CLASS}]"
+
+
+class Spaces:
+    """Character classes for text with or without rare whitespace."""
+
+    def __init__(self, rare: bool):
+        self.ws = WS if rare else "[ \n]"
+        self.not_ws = NOT_WS if rare else "[^ \n]"
+        self.inline = INLINE_WS if rare else " "
+        self.rare = rare
+
+
+def by_spaces(x: Column, body: Callable[[Column, Spaces], Column]) -> Column:
+    rare = x.rlike(NOT_PLAIN) & x.rlike(RARE_SPACE)
+    return F.when(rare, body(x, Spaces(True))).otherwise(body(x, Spaces(False)))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -50,15 +69,21 @@ def normalise_newlines(x: Column) -> Column:
 
 def squeeze(x: Column) -> Column:
     """Runs of two or more whitespace characters become one space."""
-    return F.regexp_replace(x, f"{WS}{{2,}}", " ")
+    return by_spaces(x, _squeeze)
+
+
+def _squeeze(x: Column, s: Spaces) -> Column:
+    return F.regexp_replace(x, f"{s.ws}{{2,}}", " ")
 
 
 def word_count(x: Column) -> Column:
-    return F.coalesce(F.regexp_count(x, F.lit(f"{NOT_WS}+")), F.lit(0))
+    return F.coalesce(by_spaces(x, lambda t, s: F.regexp_count(t, F.lit(f"{s.not_ws}+"))), F.lit(0))
 
 
 def words(x: Column) -> Column:
-    return F.regexp_extract_all(text_or_empty(x), F.lit(f"{NOT_WS}+"), F.lit(0))
+    return by_spaces(
+        text_or_empty(x), lambda t, s: F.regexp_extract_all(t, F.lit(f"{s.not_ws}+"), F.lit(0))
+    )
 
 
 def approx_tokens(x: Column) -> Column:
@@ -78,6 +103,13 @@ def token_list(x: Column) -> Column:
     )
 
 
+def more_words_than(x: Column, n: int) -> Column:
+    """Whether a text has more than ``n`` words; reads no further than needed."""
+    return F.coalesce(
+        by_spaces(x, lambda t, s: t.rlike(f"\\A(?:{s.ws}*+{s.not_ws}++){{{n + 1}}}")), F.lit(False)
+    )
+
+
 def alnum_words(x: Column) -> Column:
     return F.regexp_extract_all(text_or_empty(x), F.lit("[0-9A-Za-z]+"), F.lit(0))
 
@@ -117,7 +149,7 @@ def key_label(x: Column) -> Column:
 
 
 def collapse_repeated_lines(x: Column) -> Column:
-    return F.regexp_replace(x, r"(?md)^(.+)\n\1\n+", "$1\n")
+    return F.regexp_replace(x, r"(?md)^(.++)\n\1\n+", "$1\n")
 
 
 def nonblank_lines(x: Column) -> Column:
@@ -125,15 +157,29 @@ def nonblank_lines(x: Column) -> Column:
     return F.filter(F.transform(parts, strip), lambda s: s != "")
 
 
+def _tidy_punctuation(x: Column, s: Spaces) -> Column:
+    tight = F.regexp_replace(x, f"{s.ws}+([.,;:!?])", "$1")
+    return F.regexp_replace(tight, f"([.,;:!?])({s.not_ws})", "$1 $2")
+
+
+def _keep_number_punctuation(x: Column, s: Spaces) -> Column:
+    """As :func:`_tidy_punctuation`, but ``1,234.5`` and ``10:30`` stay whole."""
+    tight = F.regexp_replace(x, f"{s.ws}+([.,;:!?])", "$1")
+    return F.regexp_replace(tight, rf"([.,;:!?])(?!(?<=\d.)\d)({s.not_ws})", "$1 $2")
+
+
 def tidy_punctuation(x: Column) -> Column:
-    tight = F.regexp_replace(x, f"{WS}+([.,;:!?])", "$1")
-    return F.regexp_replace(tight, f"([.,;:!?])({NOT_WS})", "$1 $2")
+    return by_spaces(x, _tidy_punctuation)
 
 
-def keep_number_punctuation(x: Column) -> Column:
-    """As :func:`tidy_punctuation`, but ``1,234.5`` and ``10:30`` stay whole."""
-    tight = F.regexp_replace(x, f"{WS}+([.,;:!?])", "$1")
-    return F.regexp_replace(tight, rf"([.,;:!?])(?!(?<=\d.)\d)({NOT_WS})", "$1 $2")
+def _drop_lines(x: Column, s: Spaces) -> Column:
+    """Blank out lone markers, page counters and one- or two-letter lines."""
+    one_break = F.regexp_replace(x, LINE_BREAK, "\n") if s.rare else x
+    return F.regexp_replace(
+        one_break,
+        rf"(?imd)^{s.inline}*(?:{K.LONE_MARKERS}|page{s.inline}*\p{{Nd}}+|\p{{L}}{{1,2}}){s.inline}*$",
+        "",
+    )
 
 
 def clean_text(x: Column, preserve_numbers: bool = False) -> Column:
@@ -142,16 +188,14 @@ def clean_text(x: Column, preserve_numbers: bool = False) -> Column:
     Repeated lines collapse; lone markers, page counters and one- or two-letter
     lines go; the rest is joined by spaces and its punctuation spacing fixed.
     """
-    one_break = F.regexp_replace(collapse_repeated_lines(text_or_empty(x)), LINE_BREAK, "\n")
-    dropped = F.regexp_replace(
-        one_break,
-        rf"(?imd)^{INLINE_WS}*(?:{K.LONE_MARKERS}|page{INLINE_WS}*\p{{Nd}}+|\p{{L}}{{1,2}}){INLINE_WS}*$",
-        "",
-    )
-    joined = F.regexp_replace(dropped, f"{INLINE_WS}*\n{WS}*", " ")
-    flowed = strip(squeeze(joined))
-    fix = keep_number_punctuation if preserve_numbers else tidy_punctuation
-    return strip(fix(flowed))
+    tidy = _keep_number_punctuation if preserve_numbers else _tidy_punctuation
+
+    def flow(t: Column, s: Spaces) -> Column:
+        lines = _drop_lines(collapse_repeated_lines(t), s)
+        joined = strip(_squeeze(F.replace(lines, F.lit("\n"), F.lit(" ")), s))
+        return strip(tidy(joined, s))
+
+    return by_spaces(text_or_empty(x), flow)
 
 
 def cleaned_or_raw(x: Column) -> Column:
@@ -229,25 +273,22 @@ def starts_noise(x: Column) -> Column:
 
 def is_trivial_heading(x: Column) -> Column:
     """A short label without digits, symbols or a sentence end."""
-    t = strip(text_or_empty(x))
 
-    def judge(toks: Column) -> Column:
-        n = F.size(toks)
-        small = F.size(
-            F.filter(toks, lambda w: F.lower(w).isin(K.STOPWORDS) | (F.length(w) <= 3))
-        )
+    def judge(t: Column) -> Column:
+        toks = alnum_words(t)
+        small = F.size(F.filter(toks, lambda w: F.lower(w).isin(K.STOPWORDS) | (F.length(w) <= 3)))
         letters = F.length(F.array_join(toks, ""))
-        lower = F.forall(toks, lambda w: w.rlike("[a-z]") & ~w.rlike("[A-Z]"))
         return (
-            F.when(t == "", True)
+            F.when(t.rlike(r"\A(?:[^0-9A-Za-z]*+[0-9A-Za-z]++){6}"), False)
+            .when(t == "", True)
             .when(t.rlike(rf"[.!?][\"')\]]?{WS}*$"), False)
-            .when(n == 0, True)
-            .when(n > 5, False)
+            .when(F.size(toks) == 0, True)
             .when(has_digits_or_symbols(t), False)
-            .otherwise(lower | (small * 10 >= n * 6) | (letters <= n * 6))
+            .when(~t.rlike("[A-Z]"), True)
+            .otherwise((small * 10 >= F.size(toks) * 6) | (letters <= F.size(toks) * 6))
         )
 
-    return let(alnum_words(t), judge)
+    return let(strip(text_or_empty(x)), judge)
 
 
 def is_term_candidate(x: Column) -> Column:
@@ -275,24 +316,25 @@ def bold_ratio(spans: Column) -> Column:
 
 
 def word_windows(x: Column, size: int = K.WINDOW_WORDS) -> Column:
-    """Consecutive windows of ``size`` words."""
-
-    def cut(ws: Column) -> Column:
-        last = F.floor((F.size(ws) - 1) / size).cast("int")
-        return F.when(F.size(ws) == 0, F.array().cast("array<string>")).otherwise(
-            F.transform(
-                F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-                lambda i: F.array_join(F.slice(ws, i * size + 1, F.lit(size)), " "),
-            )
+    """Consecutive windows of ``size`` words, joined by single spaces."""
+
+    def cut(t: Column, s: Spaces) -> Column:
+        window = f"{s.not_ws}++(?:{s.ws}++{s.not_ws}++){{0,{size - 1}}}"
+        return F.transform(
+            F.regexp_extract_all(t, F.lit(window), F.lit(0)),
+            lambda w: F.regexp_replace(w, f"{s.ws}+", " "),
         )
 
-    return let(words(x), cut)
+    return by_spaces(text_or_empty(x), cut)
+
+
+_MARKER = r"[•\-–]|\p{Nd}{1,2}[.)]|[A-Za-z][.)]|[o○◦]"
+_LEADING_MARKER = rf"\A(?:{_MARKER})[ \t]+(?=\P{{Z}})"
 
 
 def _bullet_units(x: Column) -> Column:
     """Lines grouped by top-level bullets; each unit joined by spaces."""
-    marker = r"[•\-–]|\p{Nd}{1,2}[.)]|[A-Za-z][.)]|[o○◦]"
-    line_pat = rf"^[ \t]{{0,20}}(?:{marker})[ \t]+(.+?){WS}*$"
+    line_pat = rf"^[ \t]{{0,20}}(?:{_MARKER})[ \t]+(.+?){WS}*$"
     top_pat = rf"^ {{0,3}}(?:[•\-–]|\p{{Nd}}{{1,2}}[.)]|[A-Za-z][.)])[ \t]+.+$"
 
     def piece(ln: Column) -> Column:
@@ -346,15 +388,15 @@ def split_points(
     x: Column, min_unit_words: int = K.UNIT_MIN_WORDS, hard_max_words: int = K.UNIT_MAX_WORDS
 ) -> Column:
     """Bullet units, glued, deduplicated and cut into bounded word windows."""
-    units = dedup_units(glue_short_units(_bullet_units(x), min_unit_words))
-    return F.flatten(
-        F.transform(
-            units,
-            lambda u: F.when(word_count(u) <= hard_max_words, F.array(u)).otherwise(
-                word_windows(u, hard_max_words)
-            ),
-        )
-    )
+
+    def cut(u: Column) -> Column:
+        return F.when(more_words_than(u, hard_max_words), word_windows(u, hard_max_words)).otherwise(F.array(u))
+
+    many = F.flatten(F.transform(dedup_units(glue_short_units(_bullet_units(x), min_unit_words)), cut))
+    # A flowed text is one line: it loses a leading marker and is cut, no more.
+    lone = F.regexp_replace(strip(x), _LEADING_MARKER, "")
+    single = F.when(x.rlike(r"[\p{L}\p{N}_]"), let(lone, cut)).otherwise(F.array().cast("array<string>"))
+    return F.when(x.contains("\n") | x.contains("\r"), many).otherwise(single)
 
 
 def split_long(x: Column, limit: int = K.CHUNK_CHAR_LIMIT) -> Column:

@@ -63,9 +63,13 @@ def page_status(pages: DataFrame, calls: DataFrame | None = None) -> DataFrame:
 
 
 def provider_key(label: Column) -> Column:
+    """Short provider name from a label: a known vendor, else its first word."""
     low = F.lower(F.coalesce(label, F.lit("")))
+    word = F.regexp_replace(F.get(F.split(F.trim(low), r"\s+"), F.lit(0)), "[^a-zA-Z0-9]+", "")
     return (
-        F.when(low.contains("gemini"), "gemini")
-        .when(low.contains("claude") | low.contains("bedrock"), "claude")
-        .otherwise("provider")
+        F.when(low.contains("gemini"), "Gemini")
+        .when(low.contains("openai"), "OpenAI")
+        .when(low.contains("claude") | low.contains("bedrock"), "Claude")
+        .when(word != "", word)
+        .otherwise("LLM")
     )

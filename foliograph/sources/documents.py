@@ -1,0 +1,56 @@
+"""Document files to page rows, when a PDF library is installed."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+
+from foliograph.schema import SPAN
+
+PAGE_SPANS = f"path string, page int, width double, height double, spans array<array<{SPAN}>>, n_images int, status string"
+
+
+def decode_pages(files: DataFrame) -> DataFrame:
+    """Spans of every page of the files (path, content); a bad file gets a status.
+
+    Needs PyMuPDF on the workers. Without it, or for a broken file, one row with
+    a status comes out in place of the pages.
+    """
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        try:
+            import fitz
+        except ImportError:
+            fitz = None
+
+        def page_row(path: str, number: int, page) -> dict:
+            lines = [ln["spans"] for b in page.get_text("dict")["blocks"] for ln in b.get("lines", [])]
+            return {
+                "path": path, "page": number, "width": page.rect.width, "height": page.rect.height,
+                "spans": [[span(s) for s in ln] for ln in lines],
+                "n_images": len(page.get_images()), "status": "ok",
+            }
+
+        def span(s: dict) -> dict:
+            font = s.get("font") or ""
+            bold = any(w in font for w in ("Bold", "Semibold", "Medium")) or bool(s.get("flags", 0) & 2)
+            return {"text": s["text"], "x": s["bbox"][0], "y": s["bbox"][1], "size": s["size"], "bold": bold, "font": font}
+
+        def failed(path: str, status: str) -> dict:
+            return {"path": path, "page": None, "width": None, "height": None, "spans": None, "n_images": None, "status": status}
+
+        for pdf in batches:
+            for path, content in zip(pdf["path"], pdf["content"]):
+                if fitz is None:
+                    yield pd.DataFrame([failed(path, "no_decoder")])
+                    continue
+                try:
+                    with fitz.open(stream=bytes(content), filetype="pdf") as doc:
+                        for number, page in enumerate(doc, 1):
+                            yield pd.DataFrame([page_row(path, number, page)])
+                except Exception as e:  # a broken file is data, not a failed job
+                    yield pd.DataFrame([failed(path, f"unreadable: {e}")])
+
+    return files.select("path", "content").mapInPandas(work, PAGE_SPANS)
