@@ -237,21 +237,21 @@ def _int(x: Column) -> Column:
 
 def runs(items: Column, joins) -> Column:
     """Split an array into runs; ``joins(previous, item)`` says whether to go on."""
-    wrapped = F.transform(items, lambda v, i: F.struct(v.alias("v"), i.alias("i")))
-    starts = F.transform(
-        F.filter(
-            wrapped,
-            lambda w: (w["i"] == 0) | ~F.coalesce(joins(F.get(items, w["i"] - 1), w["v"]), F.lit(False)),
-        ),
-        lambda w: w["i"],
-    )
-    return let(
-        starts,
-        lambda s: F.transform(
-            s,
-            lambda a, k: F.slice(items, a + 1, F.coalesce(F.get(s, k + 1), F.size(items)) - a),
-        ),
-    )
+
+    def split(its: Column) -> Column:
+        indexed = F.transform(its, lambda v, i: F.struct(v.alias("v"), i.alias("i")))
+        opens = F.filter(
+            indexed,
+            lambda w: (w["i"] == 0) | ~F.coalesce(joins(F.get(its, w["i"] - 1), w["v"]), F.lit(False)),
+        )
+        return let(
+            F.transform(opens, lambda w: w["i"]),
+            lambda s: F.transform(
+                s, lambda a, k: F.slice(its, a + 1, F.coalesce(F.get(s, k + 1), F.size(its)) - a)
+            ),
+        )
+
+    return let(items, split)
 
 
 def longest_run(all_runs: Column) -> Column:

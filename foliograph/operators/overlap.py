@@ -39,11 +39,13 @@ def extracted_tokens(tables: Column, charts: Column) -> Column:
     label_tokens = F.flatten(F.transform(_normed(F.concat(heads, xs)), lambda t: F.split(t, " ")))
     plain = F.transform(F.concat(cell_tokens, ys), lambda t: F.regexp_replace(t, ",", ""))
     digits = F.transform(cells, lambda c: F.regexp_replace(text_or_empty(c), ",", ""))
-    return F.struct(
+    sets = F.struct(
         F.array_distinct(_normed(F.concat(heads, cells, titles, xs, ys))).alias("whole"),
         F.array_distinct(F.filter(F.concat(plain, digits), lambda t: F.coalesce(is_numeric_token(t), F.lit(False)))).alias("numbers"),
         F.array_distinct(F.concat(cell_tokens, label_tokens)).alias("short"),
     )
+    # A bare struct would be taken apart and worked out again for every line.
+    return let(sets, lambda t: t)
 
 
 def keep_line(line: Column, tokens: Column) -> Column:
