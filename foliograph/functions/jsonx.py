@@ -86,7 +86,7 @@ def unwrap_single(x: Column) -> Column:
     is_list = F.ltrim(x).startswith("[")
     lone = is_list & (F.size(items) == 1) & F.ltrim(F.get(items, F.lit(0))).startswith("{")
     return (
-        F.when(lone, F.get(items, F.lit(0)))
+        F.when(lone, F.regexp_extract(x, r"(?s)\A\s*\[\s*(.*\S)\s*\]\s*\z", 1))
         .when(F.ltrim(x).startswith("{"), x)
         .when(x.isNotNull(), F.concat(F.lit('{"value": '), x, F.lit("}")))
     )

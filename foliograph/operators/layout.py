@@ -256,8 +256,8 @@ def runs(items: Column, joins) -> Column:
 
 def longest_run(all_runs: Column) -> Column:
     """The run with the most items, the first of several."""
-    sized = F.transform(all_runs, lambda r, i: F.struct(F.size(r).alias("n"), (-i).alias("i"), r.alias("r")))
-    return F.array_max(F.transform(sized, lambda s: F.struct(s["n"], s["i"]))).getField("i")
+    sizes = F.transform(all_runs, lambda r: F.size(r))
+    return let(sizes, lambda n: F.get(all_runs, (F.array_position(n, F.array_max(n)) - 1).cast("int")))
 
 
 def glossary_box(lines: Column) -> Column:
@@ -275,15 +275,17 @@ def glossary_box(lines: Column) -> Column:
         runs(paired, lambda a, b: a["ok"] & b["ok"]), lambda r: F.get(r, F.lit(0))["ok"] & (F.size(r) >= 4)
     )
 
-    def build(gs: Column) -> Column:
-        best = F.get(gs, -longest_run(gs))
+    def box(best: Column) -> Column:
         ys = F.transform(best, lambda ln: _int(ln["y"]))
         first = F.transform(best, lambda ln: _int(F.get(ln["xs"], F.lit(0))))
         second = F.transform(best, lambda ln: _int(F.get(ln["xs"], F.lit(1))))
-        box = _box(
+        return _box(
             F.greatest(F.lit(0), F.array_min(first) - 8), F.array_min(ys) - 6, F.array_max(second) + 60, F.array_max(ys) + 12
         )
-        return F.when(F.size(gs) > 0, let(box, lambda b: F.when((b["x1"] > b["x0"]) & (b["y1"] > b["y0"]), b)))
+
+    def build(gs: Column) -> Column:
+        sane = let(let(longest_run(gs), box), lambda b: F.when((b["x1"] > b["x0"]) & (b["y1"] > b["y0"]), b))
+        return F.when(F.size(gs) > 0, sane)
 
     return let(groups, build)
 

@@ -10,6 +10,7 @@ from foliograph.plans.registry import query, table
 
 c = F.col
 
+
 def dt():
     return F.col("o_orderdate")
 

@@ -182,8 +182,10 @@ Q_BOX_X = "CAST(round_even(50.0 + 40.0 * (len(w) - 1), 0) AS INTEGER)"
     SELECT doc_id, 42 AS x0, CAST(round_even(y0, 0) AS INTEGER) - 6 AS y0, 150 AS x1, CAST(round_even(y1, 0) AS INTEGER) + 12 AS y1 FROM best""",
 )
 def glossary_box(spark, d):
-    boxes = laid_out(spark, d).select("doc_id", L.glossary_box(c("lines")).alias("b"))
-    return boxes.where("b is not null").select("doc_id", "b.x0", "b.y0", "b.x1", "b.y1")
+    # Exploding drops the nulls; a filter would be pushed down and find each box twice.
+    found = F.array_compact(F.array(L.glossary_box(c("lines"))))
+    boxes = laid_out(spark, d).select("doc_id", F.explode(found).alias("b"))
+    return boxes.select("doc_id", "b.x0", "b.y0", "b.x1", "b.y1")
 
 
 @query(
@@ -201,7 +203,7 @@ def column_bands(spark, d):
 
 @query(
     "heading_boxes",
-    f"""WITH {Q_LAID}, hit AS (SELECT doc_id, i AS line_at, y AS top FROM laid WHERE regexp_matches(line, '(?i)(?:\\bthe the\\b)|(?:\\bde la\\b)'))
+    f"""WITH {Q_LAID}, hit AS (SELECT doc_id, i AS line_at, y AS top FROM laid WHERE regexp_matches(line, '(?i)(?:^|[^\\p{{L}}\\p{{N}}_])(?:the the|de la)(?:$|[^\\p{{L}}\\p{{N}}_])'))
     SELECT h.doc_id, line_at, 42 AS x0, CAST(greatest(0, top - 6) AS INTEGER) AS y0, max({Q_BOX_X}) + 60 AS x1, CAST(max(l.y) + 6 AS INTEGER) AS y1
     FROM hit h JOIN laid l ON l.doc_id = h.doc_id AND l.i BETWEEN line_at AND line_at + 4 GROUP BY h.doc_id, line_at, top""",
 )
@@ -219,7 +221,7 @@ def heading_boxes(spark, d):
             )
         ).alias("z"),
     )
-    return found.select("doc_id", c("z.at").cast("bigint").alias("line_at"), "z.b.x0", "z.b.y0", "z.b.x1", "z.b.y1")
+    return found.select("doc_id", c("z.line_at").cast("bigint").alias("line_at"), "z.b.x0", "z.b.y0", "z.b.x1", "z.b.y1")
 
 
 @query(
@@ -294,10 +296,8 @@ def section_filter(spark, d):
     charts = F.array().cast("array<struct<title:string,x_values:array<string>,y_values:array<string>,series_values:array<string>>>")
     rest = F.array_join(F.slice("l", F.lit(2), F.greatest(F.size("l") - 1, F.lit(0))), "\n")
     sections = F.array(F.struct(F.lit("").alias("heading"), rest.alias("content")))
-    kept = docs.where(F.size("l") > 0).withColumn("t", V.extracted_tokens(tables, charts)).withColumn(
-        "s", V.filter_sections(sections, c("t"))
-    )
-    return kept.where(F.size("s") > 0).select("doc_id", F.get("s", F.lit(0))["content"].alias("content"))
+    known = docs.where(F.size("l") > 0).withColumn("t", V.extracted_tokens(tables, charts))
+    return known.select("doc_id", F.inline(V.filter_sections(sections, c("t")))).select("doc_id", "content")
 
 
 @query(

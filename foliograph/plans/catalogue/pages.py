@@ -36,7 +36,7 @@ def turn_pages(spark, d):
     "sticky_fill_forward",
     """SELECT 'conv_' || conv_id AS source, CAST(turn + 1 AS INTEGER) AS page,
       last_value(CASE WHEN role <> 'assistant' THEN role || ' ' || turn END IGNORE NULLS) OVER w AS page_title,
-      last_value(CASE WHEN turn % 3 = 0 THEN left(trim(text), 10) END IGNORE NULLS) OVER w AS page_subtitle
+      last_value(CASE WHEN turn % 3 = 0 THEN trim(left(trim(text), 10)) END IGNORE NULLS) OVER w AS page_subtitle
     FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""",
 )
 def sticky_fill_forward(spark, d):
@@ -133,7 +133,7 @@ def _typed_turns(spark, d):
         string_agg(CASE WHEN k = 0 THEN bare ELSE text END, ' ' ORDER BY k) AS bare FROM st GROUP BY conv_id, page, seq),
     full_ch AS (SELECT conv_id, page, seq, text, bare FROM ch UNION ALL
         SELECT conv_id, page, 0, '', NULL FROM base b WHERE NOT EXISTS (SELECT 1 FROM ch WHERE ch.conv_id = b.conv_id AND ch.page = b.page)),
-    ends AS (SELECT conv_id, page, arg_min(text, seq) AS first_text, arg_min(coalesce(bare, ''), seq) AS head, arg_max(text, seq) AS tail, count(*) AS n, min(seq) AS s0 FROM full_ch GROUP BY ALL),
+    ends AS (SELECT conv_id, page, arg_min(text, seq) AS first_text, arg_min(CASE WHEN contains(text, ' > ') THEN coalesce(bare, '') ELSE text END, seq) AS head, arg_max(text, seq) AS tail, count(*) AS n, min(seq) AS s0 FROM full_ch GROUP BY ALL),
     walk AS (
       SELECT conv_id, page, first_text AS head_text, CASE WHEN n = 1 THEN first_text ELSE tail END AS last_text FROM ends WHERE page = 1
       UNION ALL
@@ -188,7 +188,7 @@ def capped_consolidate(spark, d):
 
 @query(
     "caption_attach",
-    """SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN 'Figures of the year ' || c_mktsegment ELSE c_mktsegment END || chr(10) || chr(10) ||
+    """SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN 'Data of the year ' || c_mktsegment ELSE c_mktsegment END || chr(10) || chr(10) ||
       '| Name |' || chr(10) || '| --- |' || chr(10) || '| ' || c_name || ' |' AS table_text FROM customer""",
 )
 def caption_attach(spark, d):
@@ -202,7 +202,7 @@ def caption_attach(spark, d):
     )
     lead = page_blocks(
         F.array().cast(f"array<{TABLE}>"), F.array().cast(f"array<{CHART}>"),
-        F.array(F.struct(F.when(c("c_acctbal") > 0, "Figures").alias("heading"), F.when(c("c_acctbal") > 0, "of the year").alias("content"))), F.lit(1),
+        F.array(F.struct(F.when(c("c_acctbal") > 0, "Data").alias("heading"), F.when(c("c_acctbal") > 0, "of the year").alias("content"))), F.lit(1),
     )
     rows = table(spark, d, "customer").select("c_custkey", F.concat(lead, block).alias("blocks"))
     done = rows.withColumn("items", H.attach_captions(c("blocks"))).withColumn(
@@ -353,9 +353,11 @@ def letter_like(spark, d):
     SELECT o_orderkey, CAST(1 AS BIGINT) AS block, 'table' AS type, 'Sender' AS title, 'Field | Value' AS headers, 'name | ' || o_custkey AS cells FROM o
     UNION ALL SELECT o_orderkey, 2, 'narrative', 'Body', NULL, NULL FROM o
     UNION ALL SELECT o_orderkey, 3, 'narrative', NULL, NULL, NULL FROM o
-    UNION ALL SELECT o_orderkey, 4, 'table', 'Lines', 'Order Key | Status', o_orderkey || ' | ' || s FROM o
-    UNION ALL SELECT o_orderkey, 5, 'chart', 'Share', NULL, NULL FROM o
-    UNION ALL SELECT o_orderkey, 6, 'narrative', p, NULL, NULL FROM o""",
+    UNION ALL SELECT o_orderkey, 4, 'narrative', NULL, NULL, NULL FROM o
+    UNION ALL SELECT o_orderkey, 5, 'narrative', NULL, NULL, NULL FROM o
+    UNION ALL SELECT o_orderkey, 6, 'table', 'Lines', 'Order Key | Status', o_orderkey || ' | ' || s FROM o
+    UNION ALL SELECT o_orderkey, 7, 'chart', 'Share', NULL, NULL FROM o
+    UNION ALL SELECT o_orderkey, 8, 'narrative', p, NULL, NULL FROM o""",
 )
 def flatten_blocks(spark, d):
     """A nested letter per order: key/value table, body, segments, chart, notes."""

@@ -176,7 +176,7 @@ def image_sizes(spark, d):
 
 @query(
     "page_scale",
-    "SELECT p_partkey, CASE WHEN 1600.0 / (p_size + 10) < 2000.0 / (p_size + 14) THEN 'width' ELSE 'height' END AS bound FROM part",
+    "SELECT p_partkey, CASE WHEN 1600.0 / (p_size + 10) <= 2000.0 / (p_size + 14) THEN 'width' ELSE 'height' END AS bound FROM part",
 )
 def page_scale(spark, d):
     w, h = c("p_size") + 10, c("p_size") + 14
