@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from foliograph.functions import dates as D
 from foliograph.operators.reports import strongest_source
-from foliograph.plans.registry import query, table
+from foliograph.plans.registry import query, wide_table
 
 c = F.col
 
@@ -20,8 +20,8 @@ def _fmt(pattern: str):
 
 
 def _orders(spark, d):
-    return table(spark, d, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate", "o_totalprice"
+    return wide_table(
+        spark, d, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate", "o_totalprice"
     )
 
 

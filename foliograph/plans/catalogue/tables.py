@@ -65,7 +65,11 @@ def _shifted(spark, d):
     row = F.when(
         c("l_returnflag") == "A", F.array("l_linestatus", qty, c("l_suppkey").cast("string"), F.lit(""))
     ).otherwise(F.array("l_linestatus", F.lit("n/a"), qty, F.lit("x")))
-    return table(spark, d, "lineitem").select(
+    items = wide_table(
+        spark, d, "lineitem",
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity",
+    )
+    return items.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         F.array(F.lit(""), F.lit("May"), F.lit("April"), F.lit("March")).alias("headers"),
         F.array(row).alias("rows"),

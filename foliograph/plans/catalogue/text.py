@@ -384,7 +384,8 @@ def date_only_lines(spark, d):
 )
 def document_chunk_report(spark, d):
     docs = wide_table(spark, d, "documents", "doc_id", "source", "text")
-    cut = docs.select("source", T.word_windows(T.clean_text(c("text")), 180).alias("w"))
+    cleaned = docs.select("source", T.clean_text(c("text")).alias("t"))
+    cut = cleaned.select("source", T.word_windows(c("t"), 180).alias("w"))
     sized = cut.select(
         "source",
         F.size("w").cast("bigint").alias("n"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,19 @@ def local_session(cores: str = "*", name: str = "foliograph", partitions: int =
     )
 
 
+def reach_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where it lies.
+
+    A cluster has it installed or shipped with ``--py-files``; this covers runs
+    from a checkout, whatever their working directory.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
