@@ -23,7 +23,7 @@ from foliograph.functions.text import (
     text_or_empty,
     word_count,
 )
-from foliograph.schema import BOX, LINE, SECTION
+from foliograph.schema import LINE, SECTION
 
 
 def sort_lines(lines: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from foliograph.functions import jsonx as J
-from foliograph.functions.text import clean_text, first_nonempty, split_points, word_count, word_windows
+from foliograph.functions.text import first_nonempty, word_count, word_windows
 from foliograph.operators import chunks as H
 from foliograph.operators import flatten as N
 from foliograph.operators.blocks import page_blocks
@@ -13,7 +13,7 @@ from foliograph.operators.ordered import row_numbers
 from foliograph.operators.stitch import stitch_pages
 from foliograph.operators.titles import aliased_title, sticky_titles
 from foliograph.plans.pipeline import document_chunks
-from foliograph.plans.registry import Q_LINES, q_clean, q_count, q_strip, q_trivial, q_words, query, table, wide_table
+from foliograph.plans.registry import Q_LINES, q_clean, q_count, q_strip, q_words, query, table, wide_table
 from foliograph.schema import CHART, CHUNK, TABLE
 from foliograph.session import settle
 from foliograph.sources.provider import read_replies, replay

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from foliograph.functions import text as T
 from foliograph.functions.dates import is_date_only
 from foliograph.plans.registry import (
-    NOT_WS,
     Q_LINES,
     WS,
     document_lines,
