@@ -27,7 +27,7 @@ from pyspark.sql.window import Window
 #: Rows of a vector block and of a query block.
 VECTOR_BLOCK, QUERY_BLOCK = 4096, 512
 #: The grid has at least this many vector blocks, to keep all executors busy.
-LEAST_BLOCKS = 32
+LEAST_BLOCKS = 16
 FOUND = "query_id long, vec_id long, score long"
 
 
@@ -43,42 +43,47 @@ def quantised(embedding: Column, scale: int = 64) -> Column:
     )
 
 
+def best_of(ids: np.ndarray, score: np.ndarray, index: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` highest scores with their vectors; of equal ones those with smaller ids."""
+    if len(score) <= k:
+        return score, index
+    top = np.flatnonzero(score >= np.partition(score, len(score) - k)[len(score) - k])
+    top = top[np.lexsort((ids[index[top]], -score[top]))[:k]]
+    return score[top], index[top]
+
+
 def threshold_search(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
     """The best ``k`` vectors of each query: (query index, vector index, score) arrays."""
     n, dims = vectors.shape
     big = int(np.abs(vectors).max(initial=0)) * int(np.abs(queries).max(initial=0)) * dims
-    kind = np.float64 if big < 2**53 else np.int64 if big < 2**63 else object
+    kind = np.float32 if big < 2**24 else np.float64 if big < 2**53 else np.int64 if big < 2**63 else object
     vectors, queries = vectors.astype(kind), queries.astype(kind)
     order = np.argsort(-vectors, axis=0, kind="stable")
     lists = np.take_along_axis(vectors, order, axis=0)  # each column falls
-    rank = np.empty((n, dims), np.int32)
-    np.put_along_axis(rank, order, np.arange(n, dtype=np.int32)[:, None], axis=0)
-    depth_of = {True: rank.T.copy(), False: (n - 1 - rank).T.copy()}
+    rank = np.empty((n, dims), np.int16 if n < 2**15 else np.int32)
+    np.put_along_axis(rank, order, np.arange(n, dtype=rank.dtype)[:, None], axis=0)
+    # for a falling and a rising walk, the depth at which each list reaches each vector
+    reached = np.concatenate([rank.T, n - 1 - rank.T])
+    walks = np.arange(dims) + dims * (queries < 0)
+    depths = [max(1, n >> s) for s in range(max(1, dims.bit_length() - 1), 0, -1)]
+    ups, downs = np.where(queries >= 0, queries, 0), np.where(queries < 0, queries, 0)
+    bounds = np.stack([ups @ lists[min(d, n - 1)] + downs @ lists[max(n - 1 - d, 0)] for d in depths], axis=1)
+    scores = queries @ vectors.T  # random access: cheaper at once than row by row
     found = []
-    for at, (own, q) in enumerate(zip(query_ids, queries, strict=True)):
-        up = q >= 0
-        # the depth at which a vector first shows up in one of the lists
-        first = np.minimum(
-            depth_of[True][up].min(axis=0, initial=n), depth_of[False][~up].min(axis=0, initial=n)
-        )
-        first[ids == own] = n + 1
-        by_depth = np.argsort(first, kind="stable")
-        depths = first[by_depth]
-        done, depth = 0, max(1, (2 * k) // dims)
-        score, index = np.empty(0, kind), np.empty(0, np.int64)
-        while True:
-            upto = int(np.searchsorted(depths, min(depth, n)))
-            new = by_depth[done:upto]
-            score, index, done = np.concatenate([score, vectors[new] @ q]), np.concatenate([index, new]), upto
-            if len(score) > k:
-                best = np.lexsort((ids[index], -score))[:k]
-                score, index = score[best], index[best]
-            if depth >= n:
-                break
-            bound = q[up] @ lists[depth, up] + q[~up] @ lists[n - 1 - depth, ~up]
-            if len(score) == k and bound < score.min():
-                break
-            depth *= 2
+    for at, own in enumerate(query_ids):
+        first = reached.take(walks[at], axis=0).min(axis=0)
+        first[ids == own] = n
+        index = np.flatnonzero(first < depths[0])
+        score, index = best_of(ids, scores[at, index], index, k)
+        # the kth score only grows: at the first depth with a bound below it the walk ends
+        ends = bounds[at] < score.min() if len(score) == k else np.zeros(len(depths), bool)
+        depth = depths[int(ends.argmax())] if ends.any() else n
+        if depth > depths[0]:
+            new = np.flatnonzero((first >= depths[0]) & (first < depth))
+            fresh = scores[at, new]
+            if len(score) == k:  # equal scores stay: the smaller id decides
+                new, fresh = new[fresh >= score.min()], fresh[fresh >= score.min()]
+            score, index = best_of(ids, np.concatenate([score, fresh]), np.concatenate([index, new]), k)
         found.append((np.full(len(index), at), index, score))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
