@@ -149,3 +149,58 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("token_ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query(
+    "op7_quality_rules",
+    r"""
+WITH w AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+),
+g AS (SELECT r, i, words[i] || chr(32) || words[i + 1] || chr(32) || words[i + 2] AS three
+      FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
+rep AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, three) AS n FROM g) WHERE n > 1),
+cov AS (SELECT r, count(DISTINCT i + k) AS n FROM rep, range(0, 3) t(k) GROUP BY r),
+m AS (
+  SELECT w.r, doc_id, lang, source, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, len(lines)::BIGINT AS n_lines,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words
+  FROM w LEFT JOIN cov ON w.r = cov.r
+),
+s AS (
+  SELECT *, (10000 * n_symbols) // greatest(word_chars, 1) AS symbols, (10000 * n_dup_lines) // greatest(n_lines, 1) AS dup_lines,
+         (10000 * n_repeat_words) // greatest(n_words, 1) AS repeats, (100 * word_chars) // greatest(n_words, 1) AS word_length
+  FROM m
+),
+x AS (
+  SELECT lang, source, share, v, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS bin
+  FROM s, LATERAL (VALUES ('symbols', symbols), ('dup_lines', dup_lines), ('repeats', repeats), ('word_length', word_length)) t(share, v)
+),
+own AS (SELECT lang, source, share, count(*) AS n, quantile_disc(bin, 0.5) AS mid, quantile_disc(bin, 0.9) AS high FROM x GROUP BY ALL),
+bylang AS (SELECT lang, share, count(*) AS n, quantile_disc(bin, 0.5) AS mid, quantile_disc(bin, 0.9) AS high FROM x GROUP BY ALL),
+every AS (SELECT share, count(*) AS n, quantile_disc(bin, 0.5) AS mid, quantile_disc(bin, 0.9) AS high FROM x GROUP BY ALL),
+lim AS (
+  SELECT own.lang, own.source, own.share,
+    CASE WHEN own.n >= 200 THEN own.high + greatest(4 * (own.high - own.mid), least)
+         WHEN bylang.n >= 200 THEN bylang.high + greatest(4 * (bylang.high - bylang.mid), least)
+         ELSE every.high + greatest(4 * (every.high - every.mid), least) END AS most
+  FROM own JOIN bylang ON own.lang IS NOT DISTINCT FROM bylang.lang AND own.share = bylang.share
+  JOIN every ON own.share = every.share
+  JOIN (VALUES ('symbols', 1500), ('dup_lines', 2500), ('repeats', 1500), ('word_length', 400)) t(share, least) ON own.share = t.share
+),
+p AS (PIVOT lim ON share IN ('symbols', 'dup_lines', 'repeats', 'word_length') USING first(most) GROUP BY lang, source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT base_failed AND s.symbols <= p.symbols AND s.dup_lines <= p.dup_lines AND s.repeats <= p.repeats AND s.word_length <= p.word_length AS kept
+FROM s JOIN p ON s.lang IS NOT DISTINCT FROM p.lang AND s.source IS NOT DISTINCT FROM p.source
+""",
+)
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document, by thresholds of its language and source."""
+    from foliograph.llm.quality import judge
+
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judge(table(spark, sf_dir, "documents")).select("doc_id", *counts, "base_failed", "kept")
