@@ -204,3 +204,13 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return judge(table(spark, sf_dir, "documents")).select("doc_id", *counts, "base_failed", "kept")
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document, fitted on the labelled ones."""
+    from foliograph.llm.toxicity import fit, score
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit(docs, table(spark, sf_dir, "labels"))
+    return score(docs, model).select("doc_id", "severity", "toxic")
