@@ -20,6 +20,8 @@ def query(name: str, sql: str | None = None):
         @functools.wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             reach_package(spark)
+            # texts may be long: small Arrow batches keep Python workers small
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
             return fn(spark, sf_dir)
 
         QUERIES[name] = run
