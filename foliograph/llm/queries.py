@@ -216,3 +216,26 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit(docs, table(spark, sf_dir, "labels"))
     return score(docs, model).select("doc_id", "severity", "toxic")
+
+
+def _kind_is(kind: str):
+    return lambda span: span["kind"] == kind
+
+
+@query("op9_pii")
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans and all spans of every document, counted and written out."""
+    from foliograph.llm.pii import KINDS, detect, fit
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = detect(docs, fit(docs))
+    written = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    counts = [F.size(F.filter("base_spans", _kind_is(k))).cast("long").alias(f"n_{k}") for k in KINDS]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(written("base_spans").cast("binary"), 256).alias("base_sha256"),
+        written("spans").alias("spans"),
+    )
