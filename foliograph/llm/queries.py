@@ -239,3 +239,11 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(written("base_spans").cast("binary"), 256).alias("base_sha256"),
         written("spans").alias("spans"),
     )
+
+
+@query("op5_jaccard_join")
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document under links of three quarters of the shingles."""
+    from foliograph.llm.jaccard_join import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
