@@ -247,3 +247,18 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from foliograph.llm.jaccard_join import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op4_suffix_dedup")
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 200-byte strings that also start elsewhere."""
+    from foliograph.llm.suffix_dedup import deduplicate
+
+    left = deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        "n_spans",
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
