@@ -262,3 +262,15 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_spans",
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op6_token_packing")
+def op6_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as packed rows of 2,048 token ids."""
+    import public_tokenizers
+
+    from foliograph.llm.packing import pack
+
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = f.read()
+    return pack(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
