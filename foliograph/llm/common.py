@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Lookup tables up to this many rows are broadcast; larger ones are joined by key.
 BROADCAST_ROWS = 20_000
+#: Sets of ids up to this size are sent to all executors to pick rows; larger ones are joined by key.
+PICKED_IDS = 200_000
 #: Largest Arrow batch that an operator gives back, in bytes of payload.
 BATCH_BYTES = 8 << 20
 #: Columns of the ``documents`` table.
@@ -51,6 +53,12 @@ def join_small(left: DataFrame, right: DataFrame, on: Column, rows: int, how: st
     return left.join(F.broadcast(right) if rows <= BROADCAST_ROWS else right, on, how)
 
 
+def pick(df: DataFrame, ids: DataFrame, how: str, column: str = "doc_id") -> DataFrame:
+    """Semi or anti join with the ids in ``ids``: rows with texts stay where they are if the ids are few enough to send."""
+    ids = ids.select(column)
+    return df.join(F.broadcast(ids) if ids.count() <= PICKED_IDS else ids, column, how)
+
+
 def uniform(*cols: Column) -> Column:
     """A number in (0, 1) that depends on the values alone; the same in SQL by its MD5 digest."""
     text = F.concat_ws(":", *[F.coalesce(c.cast("string"), F.lit("~")) for c in cols])

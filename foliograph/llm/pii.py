@@ -344,8 +344,9 @@ def varied(kind: str, value: str, pick: random.Random) -> str:
 
 def labelled_windows(docs: DataFrame, sample: int = SAMPLE, seed: int = 0) -> list[tuple[str, list[Span]]]:
     """Training windows around the signs of a bounded sample, with their labelled spans."""
-    rows = docs.select("doc_id", "text").where(F.col("text").rlike("[0-9@]"))
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample)
+    signed = docs.where(F.col("text").rlike("[0-9@]"))
+    chosen = signed.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("text IS NOT NULL")  # bounded by the sample
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -359,7 +360,7 @@ def labelled_windows(docs: DataFrame, sample: int = SAMPLE, seed: int = 0) -> li
 
     kind = "part string, kind array<string>, start array<int>, end array<int>"
     schema = to_arrow_schema(T._parse_datatype_string(kind))
-    cuts = rows.mapInArrow(cut, kind).orderBy(F.xxhash64("part"), "part").limit(WINDOWS).collect()
+    cuts = rows.mapInArrow(cut, kind).orderBy(F.xxhash64("part"), "part", "kind", "start").limit(WINDOWS).collect()
     pick, windows = random.Random(seed), []
     for part, kinds, starts, ends in cuts:
         out, at, spans = "", 0, []

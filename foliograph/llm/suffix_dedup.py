@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from foliograph.llm.common import BATCH_BYTES, slices, staged
+from foliograph.llm.common import BATCH_BYTES, pick, slices, staged
 
 LENGTH, GRAM = 200, 40
 GRAMS = LENGTH - GRAM + 1
@@ -48,8 +48,6 @@ PIECE_BITS = 21
 PIECE = 1 << PIECE_BITS
 #: Kinds of runs of one anchor that are ordered in one task at most.
 CROWD = 50_000
-#: Ids up to this many are sent to all executors to pick texts; more are joined by key.
-PICKED = 200_000
 _TABLE = np.random.default_rng(5).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 
@@ -161,9 +159,7 @@ def anchored_runs(docs: DataFrame) -> DataFrame:
 
 def chosen_texts(docs: DataFrame, lists: DataFrame) -> DataFrame:
     """``docs`` of the ids in ``lists``, with its columns; only their texts are shuffled where the ids can be sent out."""
-    ids = lists.select("doc_id")
-    picked = docs.join(F.broadcast(ids), "doc_id", "left_semi") if ids.count() <= PICKED else docs
-    return picked.join(lists, "doc_id")
+    return pick(docs, lists, "left_semi").join(lists, "doc_id")
 
 
 CONTEXTS = "gram long, doc_id long, first int, many boolean, bytes binary"
@@ -353,9 +349,7 @@ def deduplicate(docs: DataFrame, keep: str = "none", crowd: int = CROWD) -> Data
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
     changed = chosen_texts(rows, lists).select("doc_id", "text", "spans").mapInArrow(run, kind)
-    ids = lists.select("doc_id")
-    same = rows.join(F.broadcast(ids) if ids.count() <= PICKED else ids, "doc_id", "left_anti")
-    same = same.select(
+    same = pick(rows, lists, "left_anti").select(
         "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_spans"), F.col("text").cast("binary").alias("kept")
     )
     return changed.unionByName(same)
