@@ -298,6 +298,15 @@ def plausible(kind: str, text: str) -> bool:
     return bool(re.fullmatch(r"[0-9]{1,3}(?: ?\. ?[0-9]{1,3}){3}", text)) and all(int(x) <= 255 for x in re.findall("[0-9]+", text))
 
 
+def widened(text: str, start: int, end: int) -> tuple[int, int]:
+    """A span with the letters and digits that go on at its ends."""
+    while start > 0 and text[start - 1].isalnum():
+        start -= 1
+    while end < len(text) and text[end].isalnum():
+        end += 1
+    return start, end
+
+
 def tagged_spans(path: np.ndarray) -> Iterator[Span]:
     """Spans of a tag sequence; a span begins at its first tag and ends where the kind changes."""
     start = None
@@ -326,8 +335,10 @@ def all_spans(tagger: Tagger | None, texts: list[str]) -> list[tuple[list[Span],
                 padded[r, : len(s)] = s
             for (n, a, _), path in zip(group, tagger.best_tags(padded, sizes), strict=True):
                 for kind, s, e in tagged_spans(path):
-                    if plausible(kind, texts[n][a + s : a + e]) and taken[n].isdisjoint(range(a + s, a + e)):
-                        every[n].append((kind, a + s, a + e))
+                    s, e = widened(texts[n], a + s, a + e)
+                    if plausible(kind, texts[n][s:e]) and taken[n].isdisjoint(range(s, e)):
+                        every[n].append((kind, s, e))
+                        taken[n].update(range(s, e))
     rank = {k: i for i, k in enumerate(KINDS)}
     return [(b, sorted(e, key=lambda x: (rank[x[0]], x[1], x[2]))) for b, e in zip(base, every, strict=True)]
 
