@@ -47,22 +47,26 @@ GRAMS = LENGTH - GRAM + 1
 PIECE_BITS = 21
 PIECE = 1 << PIECE_BITS
 #: Kinds of runs of one anchor that are ordered in one task at most.
-CROWD = 50_000
+CROWD = 20_000
 _TABLE = np.random.default_rng(5).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 
 
-@functools.cache
-def powers() -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
+@functools.lru_cache(maxsize=2)
+def powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2**64, for data of up to 2**bits bytes."""
     both = []
     for base in (_BASE, pow(_BASE, -1, 2**64)):
-        p = np.full(PIECE + 1, base, np.uint64)
+        p = np.full((1 << bits) + 1, base, np.uint64)
         p[0] = 1
         both.append(np.multiply.accumulate(p))
     return both[0], both[1]
 
 
+def powers_for(size: int) -> tuple[np.ndarray, np.ndarray]:
+    return powers(max(PIECE_BITS, size.bit_length()))
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return h ^ (h >> np.uint64(29))
@@ -70,13 +74,13 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 def prefix_sums(data: np.ndarray) -> np.ndarray:
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_TABLE[data] * powers()[0][: len(data)], out=sums[1:])
+    np.cumsum(_TABLE[data] * powers_for(len(data))[0][: len(data)], out=sums[1:])
     return sums
 
 
 def hashes(sums: np.ndarray, start: np.ndarray, length) -> np.ndarray:
     """Hashes of the strings at ``start``, from the prefix sums of their piece."""
-    return mixed((sums[start + length] - sums[start]) * powers()[1][start])
+    return mixed((sums[start + length] - sums[start]) * powers_for(len(sums) - 1)[1][start])
 
 
 def runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
