@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, StringType
 
-from foliograph.constants import MAX_JSON_CANDIDATES
 
 OPEN, CLOSE = "{[", "}]"
 
@@ -130,7 +129,3 @@ def richest_object(objects: Column) -> Column:
 
     ranked = F.transform(objects, lambda o, i: F.struct(score(o).alias("s"), (-i).alias("i"), o.alias("o")))
     return F.array_max(ranked)["o"]
-
-
-def first_candidates(objects: Column, limit: int = MAX_JSON_CANDIDATES) -> Column:
-    return F.slice(objects, F.lit(1), F.lit(limit))

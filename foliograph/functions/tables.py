@@ -18,8 +18,7 @@ from foliograph.functions.text import (
 
 
 def _pad(cells: Column, width: Column, filler: Column) -> Column:
-    missing = F.greatest(F.lit(0), width - F.size(cells))
-    return F.slice(F.concat(cells, F.array_repeat(filler, missing)), F.lit(1), width)
+    return F.concat(cells, F.array_repeat(filler, F.greatest(F.lit(0), width - F.size(cells))))
 
 
 def column_names(n: Column) -> Column:
@@ -36,8 +35,15 @@ def default_headers(headers: Column, rows: Column) -> Column:
     return F.when(F.coalesce(F.size(headers), F.lit(0)) > 0, headers).otherwise(column_names(widest(rows)))
 
 
+def whole_headers(headers: Column, rows: Column) -> Column:
+    """Headers for the widest row: cells beyond the given ones get ``col_n``."""
+    given = F.coalesce(headers, F.array().cast("array<string>"))
+    names = column_names(widest(rows))
+    return F.concat(given, F.slice(names, F.size(given) + 1, F.greatest(F.size(names) - F.size(given), F.lit(0))))
+
+
 def normalise_rows(headers: Column, rows: Column) -> Column:
-    """Pad every row with nulls, or cut it, to the header width."""
+    """Pad every row with nulls to the header width; wider rows stay."""
     return F.transform(rows, lambda r: _pad(r, F.size(headers), F.lit(None).cast("string")))
 
 
@@ -77,7 +83,7 @@ def shape_json_table(headers: Column, rows: Column) -> Column:
         return let(
             json_rows(h0, rows),
             lambda rs: let(
-                default_headers(h0, rs),
+                whole_headers(h0, rs),
                 lambda h: F.struct(h.alias("headers"), normalise_rows(h, rs).alias("rows")),
             ),
         )
@@ -99,6 +105,7 @@ def rotate_shifted_rows(headers: Column, rows: Column, keep_wide: bool = False)
 
     def fix(r: Column) -> Column:
         moved = F.concat(F.array(F.get(r, F.lit(0)), F.lit("")), F.slice(r, F.lit(2), F.greatest(n - 2, F.lit(0))))
+        moved = F.concat(moved, F.slice(r, n + 1, F.greatest(F.size(r) - n, F.lit(0))))
         return F.when(shifted(r), _pad(moved, n, F.lit(""))).otherwise(r)
 
     padded = F.transform(rows, lambda r: _pad(r, n, F.lit("")))

@@ -164,12 +164,12 @@ def document_pipeline_compat(spark, d):
     pick AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY type = 'text', line_no) AS r FROM ranked),
     flag AS (SELECT *, n <= 3 OR r <= 2 AS kept FROM pick),
     host AS (SELECT doc_id, max(CASE WHEN kept AND type = 'text' THEN line_no END) AS h FROM flag GROUP BY doc_id),
-    over_ AS (SELECT doc_id, count(*) AS k, chr(10) || chr(10) || string_agg('## ' || upper(type[1]) || type[2:] || ': ' || left(line, 120) || chr(10) || chr(10) || line, chr(10) || chr(10) ORDER BY line_no) AS body
+    over_ AS (SELECT doc_id, count(*) AS k, chr(10) || chr(10) || string_agg('## ' || upper(type[1]) || type[2:] || ': ' || line || chr(10) || chr(10) || line, chr(10) || chr(10) ORDER BY line_no) AS body
       FROM flag WHERE NOT kept GROUP BY doc_id)
     SELECT f.doc_id, line_no, type, line || CASE WHEN line_no = h AND k IS NOT NULL THEN body ELSE '' END AS text, CASE WHEN line_no = h THEN k END AS overflow_count
     FROM flag f JOIN host USING (doc_id) LEFT JOIN over_ USING (doc_id) WHERE kept
     UNION ALL
-    SELECT doc_id, (SELECT max(line_no) FROM lines l WHERE l.doc_id = o.doc_id), 'text', ltrim(body, chr(10)), k
+    SELECT doc_id, (SELECT max(line_no) + 1 FROM lines l WHERE l.doc_id = o.doc_id), 'text', ltrim(body, chr(10)), k
     FROM over_ o JOIN host USING (doc_id) WHERE h IS NULL""",
 )
 def capped_consolidate(spark, d):

@@ -49,7 +49,7 @@ def markdown_rows(spark, d):
 @query(
     "row_normalise",
     f"""WITH {Q_CELLS} SELECT doc_id, line_no, string_agg(array_to_string(list_transform(
-        list_concat(r, [NULL, NULL, NULL])[1 : len(headers)], {SHOW}), ' | '), ' / ' ORDER BY i) AS cells
+        list_concat(r, list_value(NULL, NULL, NULL)[1 : greatest(len(headers) - len(r), 0)]), {SHOW}), ' | '), ' / ' ORDER BY i) AS cells
     FROM rws GROUP BY doc_id, line_no""",
 )
 def row_normalise(spark, d):
@@ -345,3 +345,70 @@ def glossary_pairs(spark, d):
         F.get(F.get("g", F.lit(0)), F.lit(1)).alias("definition"),
         F.get(F.get("g", F.lit(1)), F.lit(0)).alias("second"),
     )
+
+
+@query(
+    "typed_tables",
+    """WITH p AS (SELECT *, p_partkey % 4 AS k, p_partkey % 3 + 1 AS n FROM part),
+    r AS (SELECT *, unnest(range(0, n)) AS i FROM p)
+    SELECT p_partkey, 0::BIGINT AS number, p_name AS title,
+      CASE k WHEN 0 THEN 'name | size | col_3' WHEN 1 THEN 'brand | size' ELSE 'name | size' END AS headers,
+      string_agg(CASE k WHEN 0 THEN i || ' | ' || p_size || ' | ' || p_type WHEN 1 THEN p_brand || ' | ' || (p_size + i)
+        ELSE i || ' | ' || p_type END, ' / ' ORDER BY i) AS cells
+    FROM r WHERE k < 3 GROUP BY ALL
+    UNION ALL SELECT p_partkey, 0, p_brand, 'Part Key | Size', string_agg(p_partkey || ' | ' || (p_size + i), ' / ' ORDER BY i)
+    FROM r WHERE k = 3 GROUP BY p_partkey, p_brand
+    UNION ALL SELECT p_partkey, 1, p_name, 'Value', p_type || ' / ' || p_brand FROM p WHERE k = 3
+    UNION ALL SELECT p_partkey, 2, 'Cols', 'a | b', string_agg(i || ' | ' || CASE WHEN i = 0 THEN p_type ELSE '' END, ' / ' ORDER BY i)
+    FROM r WHERE k = 3 GROUP BY p_partkey""",
+)
+def typed_tables(spark, d):
+    """Tables under every alias: surplus cells, ``cells``, rows as objects without headers, and segments of three shapes."""
+    from foliograph.sources.pages import typed_pages
+
+    part = table(spark, d, "part").withColumn("i", F.sequence(F.lit(0), (c("p_partkey") % 3).cast("int")))
+    name, brand, kind = c("p_name"), c("p_brand"), c("p_type")
+    size, key = c("p_size").cast("string"), c("p_partkey").cast("string")
+    each = lambda f: F.transform("i", f)
+    shapes = [
+        F.struct(name.alias("title"), F.array(F.lit("name"), F.lit("size")).alias("headers"), each(lambda i: F.array(i.cast("string"), size, kind)).alias("rows")),
+        F.struct(name.alias("name"), F.array(F.lit("brand"), F.lit("size")).alias("columns"), each(lambda i: F.array(brand, (c("p_size") + i).cast("string"))).alias("cells")),
+        F.struct(name.alias("title"), each(lambda i: F.struct(i.cast("string").alias("name"), kind.alias("size"))).alias("rows")),
+    ]
+    first = F.to_json(F.struct(brand.alias("section"), each(lambda i: F.struct(c("p_partkey").alias("part_key"), (c("p_size") + i).alias("size"))).alias("items")))
+    second = F.to_json(F.struct(F.array(kind, brand).alias("items")))
+    columns = F.array(
+        F.struct(F.lit("a").alias("header"), each(lambda i: i.cast("string")).alias("values")),
+        F.struct(F.lit("b").alias("header"), F.array(kind).alias("values")),
+    )
+    third = F.to_json(F.struct(F.lit("Cols").alias("section"), columns.alias("columns")))
+    segmented = F.concat(F.lit('{"type":"table","title":'), F.to_json(F.array(name)), F.lit(',"data":['), F.concat_ws(",", first, second, third), F.lit("]}"))
+    segmented = F.replace(F.replace(segmented, F.lit('"title":['), F.lit('"title":')), F.lit('],"data"'), F.lit(',"data"'))
+    chosen = F.lit(None).cast("string")
+    for k, shape in enumerate(shapes):
+        chosen = F.when(c("p_partkey") % 4 == k, F.to_json(shape)).otherwise(chosen)
+    json = F.concat(F.lit('{"tables":['), F.coalesce(chosen, segmented), F.lit("]}"))
+    pages = part.select(key.alias("source"), F.lit(1).alias("page"), json.alias("json"))
+    tables = typed_pages(pages, finished=False).select("source", F.posexplode("tables").alias("number", "t"))
+    return tables.select(
+        c("source").cast("bigint").alias("p_partkey"), c("number").cast("bigint").alias("number"), c("t.title").alias("title"),
+        text_array(c("t.headers")).alias("headers"), F.array_join(F.transform("t.rows", lambda r: text_array(r)), " / ").alias("cells"),
+    )
+
+
+@query(
+    "typed_charts",
+    """WITH l AS (SELECT l_suppkey, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber) AS i, l_quantity::BIGINT AS q FROM lineitem)
+    SELECT l_suppkey, count(*) AS n_values, sum(q)::BIGINT AS total, min(CASE WHEN i = 1 THEN q END) AS first_value, 2::BIGINT AS n_labels
+    FROM l GROUP BY l_suppkey HAVING count(*) >= 3""",
+)
+def typed_charts(spark, d):
+    """All line quantities of a supplier as one section text: every number becomes a value."""
+    rows = table(spark, d, "lineitem").select("l_suppkey", F.struct("l_orderkey", "l_linenumber", c("l_quantity").cast("bigint").alias("q")).alias("x"))
+    text = rows.groupBy("l_suppkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["q"].cast("string")), "; ").alias("t"))
+    made = text.withColumn("ch", C.infer_chart(F.lit("Quantities"), F.concat(F.lit("one\ntwo\n"), c("t"))))
+    whole = F.aggregate("ch.y_values", F.lit(0.0), lambda a, v: a + v)
+    return made.where(c("ch").isNotNull()).select(
+        "l_suppkey", F.size("ch.y_values").cast("bigint").alias("n_values"), whole.cast("bigint").alias("total"),
+        F.get("ch.y_values", F.lit(0)).cast("bigint").alias("first_value"), F.size("ch.x_values").cast("bigint").alias("n_labels"),
+    )

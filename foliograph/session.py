@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,22 +35,9 @@ def reach_package(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session.
-
-    ``spark.checkpoint.dir`` decides. Only a local run without it gets a
-    temporary folder; on a cluster the setting is required.
-    """
+    """The shared folder of the session: ``spark.checkpoint.dir``, or else a folder in the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    known = getattr(spark, "_foliograph_checkpoint_dir", None)
-    if known:
-        return known
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="foliograph-ckpt-")
-    spark._foliograph_checkpoint_dir = folder
-    return folder
+    return configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from foliograph.operators.blocks import page_blocks
 from foliograph.operators.chunks import chunk_pages
 from foliograph.plans.pipeline import NO_DATE
-from foliograph.sources.pages import typed_pages
+from foliograph.sources.pages import page_source, typed_pages
 
 
 def stream_page_json(spark: SparkSession, root: str) -> DataFrame:
@@ -27,7 +27,7 @@ def stream_page_json(spark: SparkSession, root: str) -> DataFrame:
         .load(root)
         .select(path.alias("path"), F.col("value").alias("json"))
         .select(
-            F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("source"),
+            page_source(F.col("path"), root).alias("source"),
             F.regexp_extract("path", r"page_(\d+)\.json$", 1).try_cast("int").alias("page"),
             "json",
         )

@@ -136,3 +136,38 @@ def test_json_helpers(spark):
     got = each(spark, broken, lambda v: jsonx.mend_literal(v, jsonx.mend_json(v)))
     assert got == ['{"a": 1}', '{"a": [1]}', '{"a": 1}', '{"a": null}', None]
     assert each(spark, ['[{"a": 1}]', "[1, 2]", '{"b": 2}'], jsonx.unwrap_single) == ['{"a": 1}', '{"value": [1, 2]}', '{"b": 2}']
+
+
+def test_cap_gives_each_chunk_its_own_number(spark):
+    from pyspark.sql import functions as F
+
+    from foliograph.operators.chunks import cap_chunks, number_chunks
+
+    for kinds in (["text", "text", "table"], ["table"] * 4, ["text"] * 4, ["table", "text", "chart", "text", "table"]):
+        rows = [(k, f"{k} {i} " + "long heading " * 20) for i, k in enumerate(kinds)]
+        df = spark.createDataFrame([(rows,)], "p array<struct<type:string,text:string>>")
+        for cap in (1, 2, 3, len(kinds)):
+            made = df.select(cap_chunks(number_chunks(F.col("p"), F.lit("s"), F.lit(1)), cap, F.lit("s"), F.lit(1)).alias("c")).first().c
+            assert len({x.seq for x in made}) == len(made) <= cap
+            assert all(any(text.strip() in x.text for x in made) for _, text in rows)
+
+
+def test_flatten_hands_titles_down_and_reads_any_depth(spark):
+    import json
+
+    from pyspark.sql import functions as F
+
+    from foliograph.operators.flatten import flatten_json
+
+    deep = "[" * 400 + '"leaf"' + "]" * 400
+    docs = [
+        json.dumps({"title": "T", "subtitle": "S", "note": "n" * 6000, "more": {"rows": [{"a": 1}, {"b": 2}]}}), deep, "[" * 200_000, None,
+        json.dumps({"header": [{"b": 1, "a": 2}, {"a": 3}], "message": [{"paragraph": "Dear reader"}, {"text": "with regards"}]}),
+    ]
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "i int, j string")
+    got = {r.i: r.b for r in df.select("i", flatten_json(F.col("j"), F.lit(1)).alias("b")).collect()}
+    assert [(b.type, b.title, b.subtitle) for b in got[0]] == [("narrative", "T", "S"), ("table", "T", "S")]
+    assert "n" * 6000 in got[0][0].text and got[0][1].headers == ["a", "b"] and got[0][1].rows == [["1", ""], ["", "2"]]
+    assert [b.text for b in got[1]] == ["leaf"] and got[2] == got[3] == []
+    assert got[4][0].headers == ["a", "b"] and got[4][0].rows == [["2", "1"], ["3", ""]]
+    assert (got[4][1].title, got[4][1].text) == ("Body", "Dear reader\n\nwith regards")
