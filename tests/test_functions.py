@@ -170,4 +170,4 @@ def test_flatten_hands_titles_down_and_reads_any_depth(spark):
     assert "n" * 6000 in got[0][0].text and got[0][1].headers == ["a", "b"] and got[0][1].rows == [["1", ""], ["", "2"]]
     assert [b.text for b in got[1]] == ["leaf"] and got[2] == got[3] == []
     assert got[4][0].headers == ["a", "b"] and got[4][0].rows == [["2", "1"], ["3", ""]]
-    assert (got[4][1].title, got[4][1].text) == ("Body", "Dear reader\n\nwith regards")
+    assert (got[4][1].title, got[4][1].text) == ("Body", "Dear reader with regards")
