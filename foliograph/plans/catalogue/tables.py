@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from foliograph.functions import charts as C
 from foliograph.functions import tables as X
+from foliograph.operators import ordered as O
 from foliograph.operators import repair as R
 from foliograph.operators.ordered import upper_median
 from foliograph.plans.registry import Q_LINES, document_lines, q_norm, query, table, text_array, wide_table
@@ -186,18 +187,21 @@ def table_similarity_dups(spark, d):
     SELECT l_returnflag, l_linestatus, header, count(*) AS n FROM a GROUP BY ALL""",
 )
 def nearest_header_assign(spark, d):
-    """Each price under the nearest of the region positions, ties to the first."""
-    table(spark, d, "region").createOrReplaceTempView("header_positions")
-    items = table(spark, d, "lineitem").select("l_returnflag", "l_linestatus", "l_extendedprice")
-    heads = F.expr(
-        "(SELECT array_sort(collect_list(struct(r_regionkey AS i, 20000.0D + 20000.0D * r_regionkey AS x, r_name AS n))) "
-        "FROM header_positions)"
-    )
-    placed = items.withColumn("hs", heads).withColumn(
-        "header",
-        F.get("hs", R.nearest_index(c("l_extendedprice"), F.transform("hs", lambda h: h["x"])))["n"],
-    )
-    return placed.groupBy("l_returnflag", "l_linestatus", "header").agg(F.count(F.lit(1)).alias("n"))
+    """Each price under the nearest of the region positions, ties to the first.
+
+    Prices and positions are put in one order and filled from both sides, so no
+    list of positions is gathered and no price meets more than two of them.
+    """
+    x = 20000.0 + 20000.0 * c("r_regionkey")
+    head = F.struct(x.alias("x"), c("r_regionkey").cast("long").alias("i"), c("r_name").alias("n"))
+    heads = table(spark, d, "region").select(F.lit(1).alias("one"), x.alias("x"), F.lit(0).alias("is_price"), head.alias("h"))
+    prices = table(spark, d, "lineitem").groupBy("l_returnflag", "l_linestatus", c("l_extendedprice").cast("double").alias("x")).agg(F.count("*").alias("m"))
+    rows = prices.withColumns({"one": F.lit(1), "is_price": F.lit(1)}).unionByName(heads, allowMissingColumns=True)
+    below = O.fill_forward(rows, ["one"], "x", {"h": "below"}, ["is_price"])
+    both = O.fill_forward(below.withColumn("down", -c("x")), ["one"], "down", {"h": "above"}, ["is_price"])
+    near = lambda h: F.when(h.isNotNull(), F.struct(F.abs(c("x") - h["x"]).alias("d"), h["i"].alias("i"), h["n"].alias("n")))
+    placed = both.where("is_price = 1").withColumn("header", F.array_min(F.array_compact(F.array(near(c("below")), near(c("above")))))["n"])
+    return placed.groupBy("l_returnflag", "l_linestatus", "header").agg(F.sum("m").alias("n"))
 
 
 @query(
