@@ -36,14 +36,14 @@ def turn_pages(spark, d):
     "sticky_fill_forward",
     """SELECT 'conv_' || conv_id AS source, CAST(turn + 1 AS INTEGER) AS page,
       last_value(CASE WHEN role <> 'assistant' THEN role || ' ' || turn END IGNORE NULLS) OVER w AS page_title,
-      last_value(CASE WHEN turn % 3 = 0 THEN trim(left(trim(text), 10)) END IGNORE NULLS) OVER w AS page_subtitle
+      last_value(CASE WHEN turn % 3 = 0 THEN trim(rtrim(text, '.')) END IGNORE NULLS) OVER w AS page_subtitle
     FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""",
 )
 def sticky_fill_forward(spark, d):
     pages = turn_pages(spark, d).select(
         "source", "page",
         F.when(c("role") != "assistant", F.concat_ws(" ", "role", (c("page") - 1).cast("string"))).otherwise("  ").alias("title"),
-        F.when((c("page") - 1) % 3 == 0, F.substring(F.trim("text"), 1, 10)).alias("subtitle"),
+        F.when((c("page") - 1) % 3 == 0, c("text")).alias("subtitle"),
     )
     return sticky_titles(pages).select("source", "page", "page_title", "page_subtitle")
 
@@ -386,13 +386,13 @@ def flatten_blocks(spark, d):
 @query(
     "chunk_json",
     """SELECT 'conv_' || conv_id AS source, CAST(turn + 1 AS INTEGER) AS page,
-      '{"id":"t' || turn || '","type":"text","text":"' || role || '","meta":{"source":"conv_' || conv_id || '","page":' || (turn + 1) ||
+      '{"id":"t' || turn || '","type":"text","text":' || to_json(rtrim(text, '.')) || ',"meta":{"source":"conv_' || conv_id || '","page":' || (turn + 1) ||
       CASE WHEN turn = 0 THEN ',"overflow_consolidated":true,"overflow_count":2' ELSE '' END || '}}' AS json FROM conversations""",
 )
 def chunk_json_lines(spark, d):
     null = F.lit(None).cast("string")
     rows = turn_pages(spark, d).select(
-        "source", "page", F.concat(F.lit("t"), (c("page") - 1).cast("string")).alias("id"), F.lit("text").alias("type"), c("role").alias("text"),
+        "source", "page", F.concat(F.lit("t"), (c("page") - 1).cast("string")).alias("id"), F.lit("text").alias("type"), "text",
         null.alias("published_date"), null.alias("published_date_source"), null.alias("published_month"),
         (c("page") == 1).alias("overflow_consolidated"), F.when(c("page") == 1, 2).alias("overflow_count"),
     )

@@ -85,7 +85,10 @@ def read_replies(replies: DataFrame) -> DataFrame:
     Status is ``ok``, ``no_tables_or_charts``, ``json_parse_failed`` or the
     failure of the call. Provider token counts and estimates are both kept.
     """
-    cut = replies.withColumn("__text", strip_fences(F.col("reply"))).withColumn("__parts", json_candidates(F.col("__text")))
+    cut = replies.withColumn("__text", strip_fences(F.col("reply")))
+    # a text that is JSON as it stands goes to Python as a null
+    broken = F.when(F.try_parse_json("__text").isNull(), F.col("__text"))
+    cut = cut.withColumn("__parts", json_candidates(broken))
     parts = cut.withColumn("__parts", F.when(F.size("__parts") > 0, F.col("__parts")).otherwise(F.array("__text")))
     mended = F.transform("__parts", mend_json)
     known = parts.withColumn("__json", mended)
