@@ -397,3 +397,27 @@ def chunk_json_lines(spark, d):
         (c("page") == 1).alias("overflow_consolidated"), F.when(c("page") == 1, 2).alias("overflow_count"),
     )
     return rows.select("source", "page", chunk_json().alias("json"))
+
+
+@query(
+    "dated_chunks",
+    """WITH o AS (SELECT *, o_orderdate + INTERVAL 20 YEAR AS d FROM orders)
+    SELECT 'orders/Report ' || o_orderkey || strftime(d, ' %Y-%m-%d') AS source, CAST(1 AS INTEGER) AS page, CAST(1 AS BIGINT) AS seq,
+      'Report ' || o_orderkey || strftime(d, ' %Y-%m-%d') AS named,
+      CAST(day(d) AS VARCHAR) || CASE WHEN day(d) IN (1, 21, 31) THEN 'st' WHEN day(d) IN (2, 22) THEN 'nd'
+        WHEN day(d) IN (3, 23) THEN 'rd' ELSE 'th' END || strftime(d, ' %B %Y') AS published_date FROM o""",
+)
+def dated_chunks(spark, d):
+    """A one-page document per order, dated by the name of its folder."""
+    from foliograph.plans.pipeline import document_dates, first_page_facts
+    from foliograph.sources.pages import typed_pages
+
+    orders = table(spark, d, "orders").withColumn("d", F.expr("o_orderdate + interval 20 years"))
+    source = F.concat(F.lit("orders/Report "), c("o_orderkey").cast("string"), F.date_format("d", " yyyy-MM-dd"))
+    words = F.concat_ws(" ", F.array_repeat(F.concat(F.lit("status of this order is "), c("o_orderstatus")), 3))
+    json = F.to_json(F.struct(F.array(F.struct(F.lit(None).cast("string").alias("heading"), words.alias("content"))).alias("sections")))
+    pages = orders.select(source.alias("source"), F.lit(1).alias("page"), json.alias("json"), F.concat(F.lit("/data/"), source, F.lit("/page_0001.json")).alias("path"))
+    typed = typed_pages(pages)
+    dated = document_chunks(typed, dates=document_dates(first_page_facts(typed)))
+    named = F.regexp_extract("text", r"^(Report \d+ \d{4}-\d{2}-\d{2})", 1)
+    return dated.select("source", "page", c("seq").cast("bigint").alias("seq"), named.alias("named"), "published_date")
