@@ -374,13 +374,20 @@ def glue_short_units(units: Column, min_words: int = K.UNIT_MIN_WORDS) -> Column
 
 
 def dedup_units(units: Column) -> Column:
-    """Keep the first unit for each identity; drop units without word characters."""
+    """Keep the first unit for each identity; drop units without word characters.
+
+    Identities are sorted with their positions, so the first of each is the one
+    that differs from its neighbour before it.
+    """
+
+    def firsts(keys: Column) -> Column:
+        new = F.filter(
+            keys, lambda k, j: (k["key"] != "") & ((j == 0) | (k["key"] != F.coalesce(F.get(keys, j - 1)["key"], F.lit(""))))
+        )
+        return F.transform(F.sort_array(F.transform(new, lambda k: k["i"])), lambda i: F.get(units, i))
+
     return let(
-        F.transform(units, unit_key),
-        lambda keys: F.filter(
-            units,
-            lambda u, i: (F.get(keys, i) != "") & (F.array_position(keys, F.get(keys, i)) == i + 1),
-        ),
+        F.array_sort(F.transform(units, lambda u, i: F.struct(unit_key(u).alias("key"), i.alias("i")))), firsts
     )
 
 

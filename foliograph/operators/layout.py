@@ -118,33 +118,29 @@ def flag_headings(lines: Column, gap: float = K.LINE_GAP) -> Column:
 
 
 def assemble_sections(flagged: Column) -> Column:
-    """Each heading opens a section; other lines are the content of the open one."""
-    zero = F.struct(F.array().cast(f"array<{SECTION}>").alias("done"), F.lit(None).cast(SECTION).alias("open"))
-
-    def step(acc: Column, ln: Column) -> Column:
-        cur = acc["open"]
-        opened = F.struct(ln["text"].alias("heading"), F.lit(None).cast("string").alias("content"))
-        grown = F.struct(
-            cur["heading"].alias("heading"), F.concat_ws("\n", cur["content"], ln["text"]).alias("content")
-        )
-        return F.struct(
-            F.when(ln["heading"] & cur.isNotNull(), F.concat(acc["done"], F.array(cur)))
-            .otherwise(acc["done"])
-            .alias("done"),
-            F.when(ln["heading"], opened).otherwise(grown).alias("open"),
-        )
+    """Each heading opens a section; other lines are the content of the open one.
+
+    Sections are slices between the positions of headings, so every line is
+    copied once.
+    """
+
+    def build(lines: Column) -> Column:
+        is_heading = lambda i: F.coalesce(F.get(lines, i)["heading"], F.lit(False))
+        n = F.size(lines)
+        starts = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: (i < n) & ((i == 0) | is_heading(i)))
+
+        def section(start: Column, end: Column) -> Column:
+            at = F.when(is_heading(start), start + 1).otherwise(start)
+            texts = F.transform(F.slice(lines, at + 1, end - at), lambda ln: ln["text"])
+            return F.struct(
+                F.when(is_heading(start), F.get(lines, start)["text"]).alias("heading"),
+                strip(squeeze(F.array_join(texts, "\n"))).alias("content"),
+            )
 
-    def finish(acc: Column) -> Column:
-        every = F.when(acc["open"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["open"])))
-        tidy = F.transform(
-            every,
-            lambda s: F.struct(
-                s["heading"].alias("heading"), strip(squeeze(text_or_empty(s["content"]))).alias("content")
-            ),
-        )
-        return F.filter(tidy, lambda s: (text_or_empty(s["heading"]) != "") | (s["content"] != ""))
+        every = let(starts, lambda s: F.transform(s, lambda start, k: section(start, F.coalesce(F.get(s, k + 1), n))))
+        return F.filter(every, lambda s: (text_or_empty(s["heading"]) != "") | (s["content"] != ""))
 
-    return F.aggregate(flagged, zero, step, finish)
+    return let(flagged, build)
 
 
 def _pull_up(section: Column, accepts) -> Column:
