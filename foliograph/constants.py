@@ -29,7 +29,6 @@ LONE_MARKERS = r"bullet_point|bullet|•|◦|▪|‣|–|-|—"
 DOCUMENT_SUFFIXES = [".pdf"]
 IMAGE_SUFFIXES = [".jpg", ".jpeg", ".png", ".tif", ".tiff", ".bmp", ".gif"]
 PAGE_TITLE_KEYS = ["page_title", "title", "pageTitle", "heading", "section_title", "name"]
-PAGE_SUBTITLE_KEYS = ["page_subtitle", "subtitle", "sub_title", "subheading", "sub_section_title"]
 TITLE_KEYS = ["title", "page_title", "pageTitle", "heading", "section_title", "section", "name"]
 SUBTITLE_KEYS = [
     "subtitle", "sub_title", "page_subtitle", "subheading",

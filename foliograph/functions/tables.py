@@ -231,10 +231,6 @@ def key_value_rows(m: Column) -> Column:
     return F.transform(F.map_entries(m), lambda e: F.array(e["key"], e["value"]))
 
 
-def labelled_columns(keys: Column) -> Column:
-    return F.transform(keys, key_label)
-
-
 def zip_columns(columns: Column) -> Column:
     """Ragged columns to rows, blanks where a column is short."""
     height = F.coalesce(F.array_max(F.transform(columns, lambda c: F.size(c))), F.lit(0))

@@ -198,12 +198,6 @@ def clean_text(x: Column, preserve_numbers: bool = False) -> Column:
     return by_spaces(text_or_empty(x), flow)
 
 
-def cleaned_or_raw(x: Column) -> Column:
-    return let(
-        clean_text(x), lambda c: F.when(c != "", c).otherwise(strip(text_or_empty(x)))
-    )
-
-
 def is_numeric_token(x: Column) -> Column:
     return F.regexp_replace(x, ",", "").rlike(r"^[\-\d.,]+$")
 
