@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,32 +64,11 @@ def uniform(*cols: Column) -> Column:
     return (F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") + 0.5) / float(16**13)
 
 
-def all_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, which is worked out once however often ``body`` uses it."""
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def map_rows(
-    df: DataFrame, fn: Callable[[dict[str, list]], Iterator[dict[str, list]]], schema: str
-) -> DataFrame:
-    """``mapInArrow`` with ``fn`` from columns as lists to columns as lists or arrays."""
-    from pyspark.sql.types import _parse_datatype_string
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    arrow = to_arrow_schema(_parse_datatype_string(schema))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for out in fn({n: batch.column(i) for i, n in enumerate(batch.schema.names)}):
-                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
-
-    return df.mapInArrow(run, schema)
-
-
 def slices(texts: pa.Array, limit: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of rows whose texts stay near ``limit`` bytes together; one text is never cut."""
     import pyarrow.compute as pc

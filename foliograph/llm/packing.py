@@ -111,7 +111,7 @@ def best_fit(sizes: list[int], length: int) -> list[list[int]]:
 
 def pack(docs: DataFrame, ranks: bytes, pattern: str, length: int = 2048) -> DataFrame:
     """``docs`` (doc_id, text) as packed rows of ``length`` token ids."""
-    schema = to_arrow_schema(T._parse_datatype_string(PACKED))
+    schema = to_arrow_schema(T.StructType.fromDDL(PACKED))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = rank_encoder(ranks, pattern)

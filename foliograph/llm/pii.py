@@ -370,7 +370,7 @@ def labelled_windows(docs: DataFrame, sample: int = SAMPLE, seed: int = 0) -> li
             yield pa.RecordBatch.from_pylist(found, schema=schema)
 
     kind = "part string, kind array<string>, start array<int>, end array<int>"
-    schema = to_arrow_schema(T._parse_datatype_string(kind))
+    schema = to_arrow_schema(T.StructType.fromDDL(kind))
     cuts = rows.mapInArrow(cut, kind).orderBy(F.xxhash64("part"), "part", "kind", "start").limit(WINDOWS).collect()
     pick, windows = random.Random(seed), []
     for part, kinds, starts, ends in cuts:
@@ -391,7 +391,7 @@ def labelled_windows(docs: DataFrame, sample: int = SAMPLE, seed: int = 0) -> li
 
 def detect(docs: DataFrame, tagger: Tagger | None, text: str = "text", masked: str | None = None) -> DataFrame:
     """``docs`` with ``base_spans`` and ``spans``; ``masked`` names a column for the text with spans blanked."""
-    span = T.ArrayType(T._parse_datatype_string("kind string, start int, end int"))
+    span = T.ArrayType(T.StructType.fromDDL("kind string, start int, end int"))
     added = [T.StructField("base_spans", span), T.StructField("spans", span)]
     added += [T.StructField(masked, T.StringType())] if masked else []
     names = {f.name for f in added}

@@ -241,7 +241,28 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op5_jaccard_join")
+@query(
+    "op5_jaccard_join",
+    r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (
+  SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)
+),
+reach AS (SELECT doc_id AS d, doc_id AS r FROM w UNION SELECT reach.d, l.b FROM reach JOIN l ON reach.r = l.a)
+SELECT w.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r) AS component_id
+FROM w JOIN reach ON w.doc_id = reach.d LEFT JOIN n ON w.doc_id = n.doc_id GROUP BY w.doc_id
+""",
+)
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and component of every document under links of three quarters of the shingles."""
     from foliograph.llm.jaccard_join import near_duplicates

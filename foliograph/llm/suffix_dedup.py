@@ -143,7 +143,7 @@ RUNS = "doc_id long, gram long, run long, first int, count int"
 
 def anchored_runs(docs: DataFrame) -> DataFrame:
     """Every run of every text: (doc_id, gram, run, first, count)."""
-    schema = to_arrow_schema(T._parse_datatype_string(RUNS))
+    schema = to_arrow_schema(T.StructType.fromDDL(RUNS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,7 +171,7 @@ CONTEXTS = "gram long, doc_id long, first int, many boolean, bytes binary"
 
 def contexts(docs: DataFrame, open_runs: DataFrame) -> DataFrame:
     """The bytes of the strings of each open run: (gram, doc_id, first, many, bytes)."""
-    schema = to_arrow_schema(T._parse_datatype_string(CONTEXTS))
+    schema = to_arrow_schema(T.StructType.fromDDL(CONTEXTS))
     lists = open_runs.groupBy("doc_id").agg(F.collect_list(F.struct("gram", "first", "count", "many")).alias("runs"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +250,7 @@ SPANS = "doc_id long, start int, end int"
 
 def spans_by_order(ctx: DataFrame, first_stays: bool) -> DataFrame:
     """Repeated strings by suffix order; contexts of one anchor meet in one task, sorted, some megabytes at a time."""
-    schema = to_arrow_schema(T._parse_datatype_string(SPANS))
+    schema = to_arrow_schema(T.StructType.fromDDL(SPANS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, int, bool, bytes]] = []
@@ -278,7 +278,7 @@ def spans_by_order(ctx: DataFrame, first_stays: bool) -> DataFrame:
 def spans_by_count(ctx: DataFrame, first_stays: bool) -> DataFrame:
     """The same for anchors with very many kinds of runs: strings by fingerprint, counted and joined back."""
     kind = "gram long, print long, doc_id long, at int, many boolean"
-    schema = to_arrow_schema(T._parse_datatype_string(kind))
+    schema = to_arrow_schema(T.StructType.fromDDL(kind))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -341,7 +341,7 @@ def deduplicate(docs: DataFrame, keep: str = "none", crowd: int = CROWD) -> Data
     spans = repeated_spans(docs, keep, crowd)
     lists = staged(spans.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans")), "suffix-spans")
     kind = "doc_id long, n_bytes long, n_spans long, kept binary"
-    schema = to_arrow_schema(T._parse_datatype_string(kind))
+    schema = to_arrow_schema(T.StructType.fromDDL(kind))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

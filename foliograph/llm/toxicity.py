@@ -103,7 +103,7 @@ def labelled_features(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE)
     chosen = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # so small that it can be sent to all
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     columns = "doc_id long, toxic int, n_words int, feature binary, n int"
-    schema = to_arrow_schema(T._parse_datatype_string(columns))
+    schema = to_arrow_schema(T.StructType.fromDDL(columns))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
