@@ -5,9 +5,11 @@ characters in both directions and scores a tag for each; windows overlap, and
 where they do, their scores are averaged with the weight of each window's middle.
 The best tags of a whole stretch are then found at once with the transition
 scores, so a span across windows is decided globally. A span of the network
-counts if it holds a digit or an at sign, fits the shape of its kind, and
-overlaps no base span. As no such span lies in a text without digits and at
-signs, only stretches around those are read by the network; nothing else is cut.
+counts if it fits the shape of its kind and overlaps no base span. Every shape
+holds a digit, an at sign, or a writing of one ("(at)", "[at]", or " at " before
+a host with a dot), so the network reads stretches around those alone. A stretch
+reaches past both ends of the address or number that its sign may belong to;
+nothing else is cut.
 
 The network is trained in numpy by gradient steps on labelled windows. Labelled
 spans come from the caller; ``labelled_windows`` makes them from the base spans of
@@ -23,6 +25,7 @@ points, ends are exclusive.
 
 from __future__ import annotations
 
+import bisect
 import random
 import re
 from collections.abc import Iterator
@@ -44,13 +47,15 @@ IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # ---
-SIGNS = re.compile(r"[0-9@]+(?:[^0-9@]{1,16}[0-9@]+)*")
+NUMBERS = re.compile(r"[0-9](?:[0-9 ().-]*[0-9])?")
+AT = re.compile(r"@|\(at\)|\[at\]| at (?= ?[\w-]++\.[\w-])")
+LOCAL_PART, HOST = re.compile(r"[\w.%+-]"), re.compile(r" ?[\w-]++(?:\.[\w-]++)*+")
 #: Documents that training windows are taken from at most, windows at most, and steps.
 SAMPLE, WINDOWS, STEPS, BATCH = 4_000, 4_000, 260, 64
-#: Characters of a window, its step, and what is read around digits and at signs.
+#: Characters of a window, its step, and what is read around numbers and addresses.
 WIDTH, STRIDE, AROUND = 64, 32, 24
-#: Stretches that are decoded together.
-DECODED = 128
+#: Stretches that are decoded together at most, and their padded characters.
+DECODED, PADDED = 128, 500_000
 EMBED, HIDDEN = 12, 16
 TAGS = ["O", *[f"{p}-{k}" for k in KINDS for p in "BI"]]
 
@@ -252,13 +257,29 @@ def train(windows: list[tuple[str, list[Span]]], steps: int = STEPS, seed: int =
     return tagger
 
 
+def address_around(text: str, start: int, end: int) -> tuple[int, int]:
+    """The ends of the address whose at sign, in some writing, is ``text[start:end]``."""
+    if start > 1 and text[start - 1] == " " and LOCAL_PART.match(text[start - 2]):
+        start -= 1
+    while start > 0 and LOCAL_PART.match(text[start - 1]):
+        start -= 1
+    host = HOST.match(text, end)
+    return start, host.end() if host else end
+
+
+def addresses(text: str) -> list[tuple[int, int]]:
+    """What surrounds each at sign, in any writing, as far as an address may go."""
+    return [address_around(text, *m.span()) for m in AT.finditer(text)]
+
+
 def stretches(text: str) -> list[tuple[int, int]]:
-    """Where the network reads: around digits and at signs, merged where that overlaps."""
+    """Where the network reads: around numbers and addresses, merged where that overlaps."""
+    signs = [m.span() for m in NUMBERS.finditer(text)] + addresses(text)
     found: list[tuple[int, int]] = []
-    for m in SIGNS.finditer(text):
-        start, end = max(0, m.start() - AROUND), min(len(text), m.end() + AROUND)
+    for start, end in sorted(signs):
+        start, end = max(0, start - AROUND), min(len(text), end + AROUND)
         if found and start <= found[-1][1]:
-            found[-1] = found[-1][0], end
+            found[-1] = found[-1][0], max(found[-1][1], end)
         else:
             found.append((start, end))
     return found
@@ -307,6 +328,16 @@ def widened(text: str, start: int, end: int) -> tuple[int, int]:
     return start, end
 
 
+def whole_address(text: str, around: list[tuple[int, int]], start: int, end: int) -> tuple[int, int]:
+    """The first address of ``around`` that a span meets, from end to end, else the span."""
+    at = bisect.bisect_right(around, start, key=lambda x: x[1])
+    while at < len(around) and around[at][0] < end:
+        if plausible("email", text[slice(*around[at])]):
+            return around[at]
+        at += 1
+    return start, end
+
+
 def tagged_spans(path: np.ndarray) -> Iterator[Span]:
     """Spans of a tag sequence; a span begins at its first tag and ends where the kind changes."""
     start = None
@@ -318,6 +349,18 @@ def tagged_spans(path: np.ndarray) -> Iterator[Span]:
             start = i
 
 
+def grouped(parts: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, int, int]]]:
+    """Stretches sorted by length in groups that are bounded when padded to their longest."""
+    group: list[tuple[int, int, int]] = []
+    for part in parts:
+        if group and (len(group) == DECODED or (len(group) + 1) * (part[2] - part[1]) > PADDED):
+            yield group
+            group = []
+        group.append(part)
+    if group:
+        yield group
+
+
 def all_spans(tagger: Tagger | None, texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
     """Base spans and all spans of each text."""
     base = [base_spans(t) for t in texts]
@@ -325,9 +368,9 @@ def all_spans(tagger: Tagger | None, texts: list[str]) -> list[tuple[list[Span],
     if tagger is not None:
         parts = [(n, a, b) for n, t in enumerate(texts) for a, b in stretches(t)]
         parts.sort(key=lambda x: x[2] - x[1])
+        around = [addresses(t) for t in texts]
         taken = [{i for _, s, e in b for i in range(s, e)} for b in base]
-        for at in range(0, len(parts), DECODED):
-            group = parts[at : at + DECODED]
+        for group in grouped(parts):
             scores = merged_scores(tagger, [texts[n][a:b] for n, a, b in group])
             sizes = np.array([len(s) for s in scores])
             padded = np.zeros((len(group), sizes.max(), len(TAGS)), np.float32)
@@ -336,6 +379,8 @@ def all_spans(tagger: Tagger | None, texts: list[str]) -> list[tuple[list[Span],
             for (n, a, _), path in zip(group, tagger.best_tags(padded, sizes), strict=True):
                 for kind, s, e in tagged_spans(path):
                     s, e = widened(texts[n], a + s, a + e)
+                    if kind == "email":
+                        s, e = whole_address(texts[n], around[n], s, e)
                     if plausible(kind, texts[n][s:e]) and taken[n].isdisjoint(range(s, e)):
                         every[n].append((kind, s, e))
                         taken[n].update(range(s, e))
@@ -346,7 +391,7 @@ def all_spans(tagger: Tagger | None, texts: list[str]) -> list[tuple[list[Span],
 def varied(kind: str, value: str, pick: random.Random) -> str:
     """A span in another writing, or as it is."""
     if kind == "email" and pick.random() < 0.4:
-        return value.replace("@", pick.choice([" at ", "(at)", " @ ", "[at]"]), 1)
+        return value.replace("@", pick.choice([" at ", "(at)", " (at) ", " @ ", "[at]", " [at] "]), 1)
     if kind == "phone" and pick.random() < 0.5:
         shorter = re.sub(r"^\+[0-9]+[ .-]*", "", value)
         return shorter if sum(c.isdigit() for c in shorter) >= 7 else value

@@ -192,6 +192,31 @@ def test_network_adds_spans_and_base_ones_stay(spark):
     assert found[2] == found[3] == ([], []) and found[4][0] == found[4][1] != []
 
 
+def test_network_reads_addresses_without_digits_and_whole_hosts(spark):
+    pick, rows = random.Random(6), []
+    names, hosts = ["jane.doe", "sam_lee", "kim", "ann.b", "lou-ray", "max.moe"], ["example.org", "mail.test.net", "some-school.edu.example", "a-b.example.com"]
+    for i in range(300):
+        rows.append((i, f"write to {pick.choice(names)}@{pick.choice(hosts)} {pick.choice(['please', 'or call', 'today', 'at noon'])} and more of the plain words", "en", "a", 0))
+    tagger = pii.fit(spark.createDataFrame(rows, DOCS))
+    long = "kim at long-department.of-some-old.very-large.some-university.research-network.example.org"
+    values = ["jane.doe (at) example.org", "kim(at)mail.test.net", "sam_lee[at]example.org", "ann.b at a-b.example.com", long]
+    texts = [f"write to {v} please and more of the plain words" for v in values] + ["meet me at noon or at the end. then more"]
+    found = [[t[s:e] for _, s, e in spans] for t, (_, spans) in zip(texts, pii.all_spans(tagger, texts))]
+    assert found == [[v] for v in values] + [[]]
+
+
+def test_stretches_hold_every_plausible_span():
+    pick = random.Random(2)
+    parts = ["a", "jo.b", " at ", "(at)", "[at]", "@", " ", "x-y.z", ".", "h" * 60, "1", "22", " " * 60, "(", "-", "+1"]
+    for _ in range(5_000):
+        text = "".join(pick.choice(parts) for _ in range(pick.randint(1, 9)))
+        read = pii.stretches(text)
+        for m in re.finditer(r"[\w.%+-]+ ?(?:@|\(at\)|\[at\]| at ) ?[\w-]+(?:\.[\w-]+)+|[+(]?[0-9][0-9 ().-]*[0-9]", text):
+            assert any(a <= m.start() and m.end() <= b for a, b in read), (text, m[0])
+    for long in ("a" * 200_000 + "(at)", "a at " * 50_000, "@" * 200_000, "1" + " " * 200_000 + "x"):
+        pii.stretches(long)  # linear
+
+
 def test_detect_awkward_rows(spark, awkward, nothing):
     tagger = pii.fit(spark.createDataFrame(pii_rows(), DOCS))
     rows = pii.detect(awkward.withColumnRenamed("copy", "spans"), tagger, masked="masked").collect()
