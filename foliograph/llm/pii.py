@@ -26,6 +26,8 @@ points, ends are exclusive.
 from __future__ import annotations
 
 import bisect
+import heapq
+import itertools
 import random
 import re
 from collections.abc import Iterator
@@ -33,6 +35,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -398,40 +401,56 @@ def varied(kind: str, value: str, pick: random.Random) -> str:
     return value
 
 
+def windows_of(text: str, seed: int = 0) -> Iterator[tuple[str, list[Span]]]:
+    """All windows of the stretches of a text, at most ``WIDTH`` long, with base spans in varied writings."""
+    spans, i = sorted(base_spans(text), key=lambda x: (x[1], x[2])), 0
+    for a, b in stretches(text):
+        pick = random.Random(f"{seed}:{a}:{text[a : a + WIDTH]}")
+        out, at, new = [], a, []
+        size = 0
+        while i < len(spans) and spans[i][1] < b:
+            k, s, e = spans[i]
+            i += 1
+            if s < at:
+                continue
+            value = varied(k, text[s:e], pick)
+            out += [text[at:s], value]
+            size += s - at + len(value)
+            new.append((k, size - len(value), size))
+            at = e
+        part, first = "".join([*out, text[at:b]]), 0
+        for start in range(0, max(1, len(part) - STRIDE), STRIDE):
+            while first < len(new) and new[first][2] <= start:
+                first += 1
+            inside = itertools.takewhile(lambda x, end=start + WIDTH: x[1] < end, itertools.islice(new, first, None))
+            yield part[start : start + WIDTH], [(k, s - start, e - start) for k, s, e in inside]
+
+
 def labelled_windows(docs: DataFrame, sample: int = SAMPLE, seed: int = 0) -> list[tuple[str, list[Span]]]:
-    """Training windows around the signs of a bounded sample, with their labelled spans."""
+    """``WINDOWS`` training windows at most of a bounded sample, with their labelled spans.
+
+    Windows come from whole texts. A hash orders those of a document, and every
+    document gives its first before any gives its second, so that no long text
+    takes the place of others.
+    """
     signed = docs.where(F.col("text").rlike("[0-9@]"))
     chosen = signed.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("text IS NOT NULL")  # bounded by the sample
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
             for text in batch.column("text").to_pylist():
-                spans = base_spans(text)
-                for a, b in stretches(text)[:8]:  # a document gives a few windows at most
-                    inside = [(k, s - a, e - a) for k, s, e in spans if a <= s and e <= b]
-                    found.append({"part": text[a:b], "kind": [k for k, _, _ in inside], "start": [s for _, s, _ in inside], "end": [e for _, _, e in inside]})
-            yield pa.RecordBatch.from_pylist(found, schema=schema)
-
-    kind = "part string, kind array<string>, start array<int>, end array<int>"
+                hashed = ((xxhash.xxh3_64_intdigest(part.encode()) >> 1, part, spans) for part, spans in windows_of(text, seed))
+                found = [
+                    {"turn": i, "hash": h, "part": part, "kind": [k for k, _, _ in spans], "start": [s for _, s, _ in spans], "end": [e for _, _, e in spans]}
+                    for i, (h, part, spans) in enumerate(heapq.nsmallest(WINDOWS, hashed))
+                ]
+                yield pa.RecordBatch.from_pylist(found, schema=schema)
+
+    kind = "turn int, hash long, part string, kind array<string>, start array<int>, end array<int>"
     schema = to_arrow_schema(T.StructType.fromDDL(kind))
-    cuts = rows.mapInArrow(cut, kind).orderBy(F.xxhash64("part"), "part", "kind", "start").limit(WINDOWS).collect()
-    pick, windows = random.Random(seed), []
-    for part, kinds, starts, ends in cuts:
-        out, at, spans = "", 0, []
-        for k, s, e in sorted(zip(kinds, starts, ends, strict=True), key=lambda x: x[1]):
-            if s < at:
-                continue
-            out += part[at:s]
-            new = varied(k, part[s:e], pick)
-            spans.append((k, len(out), len(out) + len(new)))
-            out, at = out + new, e
-        out += part[at:]
-        for start in range(0, max(1, len(out) - STRIDE), STRIDE):
-            inside = [(k, s - start, e - start) for k, s, e in spans if s < start + WIDTH and e > start]
-            windows.append((out[start : start + WIDTH], inside))
-    return windows
+    cuts = rows.mapInArrow(cut, kind).orderBy("turn", "hash", "part", "kind", "start", "end").limit(WINDOWS).collect()
+    return [(r.part, list(zip(r.kind, r.start, r.end, strict=True))) for r in cuts]
 
 
 def detect(docs: DataFrame, tagger: Tagger | None, text: str = "text", masked: str | None = None) -> DataFrame:

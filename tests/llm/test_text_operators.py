@@ -217,6 +217,16 @@ def test_stretches_hold_every_plausible_span():
         pii.stretches(long)  # linear
 
 
+def test_training_windows_come_from_whole_texts_and_are_bounded(spark, monkeypatch):
+    late = " ".join(["item 7 of the long list of plain words that goes on and on without any end"] * 20) + " mail kim@example.org"
+    assert any(k == "email" for _, spans in pii.windows_of(late) for k, _, _ in spans)
+    monkeypatch.setattr(pii, "WINDOWS", 40)
+    rows = [(0, "12 345 " * 4_000, "en", "a", 0)] + pii_rows(30)[1:]
+    windows = pii.labelled_windows(spark.createDataFrame(rows, DOCS))
+    assert len(windows) == 40 and max(len(part) for part, _ in windows) <= pii.WIDTH
+    assert sum(not part.strip("12345 ") for part, _ in windows) < 20
+
+
 def test_detect_awkward_rows(spark, awkward, nothing):
     tagger = pii.fit(spark.createDataFrame(pii_rows(), DOCS))
     rows = pii.detect(awkward.withColumnRenamed("copy", "spans"), tagger, masked="masked").collect()
