@@ -201,8 +201,8 @@ def page_sections(lines: Column, gap: float = K.LINE_GAP) -> Column:
     )
 
 
-def title_candidates(lines: Column) -> Column:
-    """Title and subtitle among the first six merged lines."""
+def title_candidates(lines: Column, compat: bool = False) -> Column:
+    """Title and subtitle among the merged lines of a page; with ``compat`` among the first six."""
 
     def build(top: Column) -> Column:
         ranked = F.array_sort(
@@ -218,7 +218,7 @@ def title_candidates(lines: Column) -> Column:
             F.when(fits, best["text"]).alias("title"), F.when(fits & under, second["text"]).alias("subtitle")
         )
 
-    return let(F.slice(lines, F.lit(1), F.lit(6)), build)
+    return let(F.slice(lines, F.lit(1), F.lit(6)) if compat else lines, build)
 
 
 def _box(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
@@ -303,13 +303,44 @@ def rows_by_y(lines: Column) -> Column:
     )
 
 
-def priority_box(lines: Column, pattern: str = K.PRIORITY_HEADING) -> Column:
-    """Region under a priority heading, else the first dense numeric band."""
+def table_runs(lines: Column) -> Column:
+    """First and last position of each run of lines with two or more spans."""
+
+    def build(ok: Column) -> Column:
+        at = lambda i: F.coalesce(F.get(ok, i), F.lit(False))
+        where = F.sequence(F.lit(0), F.greatest(F.size(ok) - 1, F.lit(0)))
+        starts = F.filter(where, lambda i: at(i) & ((i == 0) | ~at(i - 1)))
+        ends = F.filter(where, lambda i: at(i) & ~at(i + 1))
+        return F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("start"), b.alias("end")))
+
+    flags = F.transform(lines, lambda ln: (F.size(ln["spans"]) >= 2) & (strip(text_or_empty(ln["text"])) != ""))
+    return let(flags, build)
+
+
+def region_lines(lines: Column, table: Column, at: Column, below: int) -> Column:
+    """Line ``at`` and what is below it to the end of the table rows that begin at most ``below`` lines down.
+
+    Where no table row is that near, the ``below`` lines are the region; with a
+    null ``table`` they always are.
+    """
+    last = F.array_max(F.transform(F.filter(table, lambda r: r["start"] <= at + below), lambda r: r["end"]))
+    return F.slice(lines, at + 1, F.when(last > at, last - at + 1).otherwise(below + 1))
+
+
+def _table(lines: Column, compat: bool) -> Column:
+    return F.lit(None).cast("array<struct<start:int,end:int>>") if compat else table_runs(lines)
+
+
+def priority_box(lines: Column, pattern: str = K.PRIORITY_HEADING, compat: bool = False) -> Column:
+    """Region under a priority heading, else the first dense numeric band.
+
+    It goes to the end of the table rows; with ``compat`` it has eight lines.
+    """
     marked = F.filter(
         F.transform(lines, lambda ln, i: F.struct(ln["text"].alias("text"), i.alias("i"))),
         lambda m: text_or_empty(m["text"]).rlike("(?i)" + pattern),
     )
-    grouped = F.transform(marked, lambda m: F.slice(lines, m["i"] + 1, F.lit(8)))
+    grouped = let(_table(lines, compat), lambda t: F.transform(marked, lambda m: region_lines(lines, t, m["i"], 7)))
     spanned = F.filter(grouped, lambda g: F.exists(g, lambda ln: F.size(ln["spans"]) > 0))
 
     def around(g: Column) -> Column:
@@ -362,16 +393,19 @@ def column_bands(lines: Column, min_rows: int = 3, gap: int = 20) -> Column:
     return let(wide, build)
 
 
-def heading_boxes(lines: Column, patterns: list[str], below: int = 4) -> Column:
-    """Region of each line that matches a pattern and the ``below`` lines after it."""
+def heading_boxes(lines: Column, patterns: list[str], below: int = 4, compat: bool = False) -> Column:
+    """Region of each line that matches a pattern and the table rows that begin at most ``below`` lines after it.
+
+    With ``compat``, or without such rows, it has the ``below`` lines.
+    """
     hit = "|".join(f"(?:{p})" for p in patterns)
     at = F.filter(
         F.transform(lines, lambda ln, i: F.struct(ln["text"].alias("text"), i.alias("i"))),
         lambda m: text_or_empty(m["text"]).rlike("(?i)" + hit),
     )
 
-    def one(m: Column) -> Column:
-        g = F.slice(lines, m["i"] + 1, F.lit(below + 1))
+    def one(m: Column, table: Column) -> Column:
+        g = region_lines(lines, table, m["i"], below)
         xs = F.transform(F.flatten(F.transform(g, lambda ln: ln["spans"])), lambda s: s["x"])
         first = F.get(lines, m["i"])
         bottom = F.array_max(F.transform(g, lambda ln: ln["y"]))
@@ -385,7 +419,7 @@ def heading_boxes(lines: Column, patterns: list[str], below: int = 4) -> Column:
             ),
         )
 
-    return F.array_compact(F.transform(at, one))
+    return let(_table(lines, compat), lambda t: F.array_compact(F.transform(at, lambda m: one(m, t))))
 
 
 def is_empty_page(text: Column, n_images: Column, n_drawings: Column, n_annotations: Column) -> Column:

@@ -156,7 +156,25 @@ def heading_merge(spark, d):
     FROM best b LEFT JOIN second s ON b.doc_id = s.doc_id""",
 )
 def title_candidates(spark, d):
-    return laid_out(spark, d).select("doc_id", L.title_candidates(c("lines")).alias("t")).select("doc_id", "t.title", "t.subtitle")
+    """The first six lines alone, as the SQL has it."""
+    return titles_of(laid_out(spark, d), compat=True)
+
+
+def titles_of(pages, compat):
+    return pages.select("doc_id", L.title_candidates(c("lines"), compat).alias("t")).select("doc_id", "t.title", "t.subtitle")
+
+
+@query(
+    "title_candidates_all_lines",
+    f"""WITH {Q_LAID},
+    best AS (SELECT doc_id, line, size FROM laid QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY size DESC, y, i) = 1),
+    second AS (SELECT doc_id, line, size FROM laid WHERE i = 2)
+    SELECT b.doc_id, CASE WHEN length(b.line) < 160 AND {q_count('b.line')} <= 10 THEN b.line END AS title,
+      CASE WHEN length(b.line) < 160 AND {q_count('b.line')} <= 10 AND (s.size < b.size OR starts_with(s.line, '(')) THEN s.line END AS subtitle
+    FROM best b LEFT JOIN second s ON b.doc_id = s.doc_id""",
+)
+def title_candidates_all_lines(spark, d):
+    return titles_of(laid_out(spark, d), compat=False)
 
 
 @query(
@@ -208,8 +226,27 @@ def column_bands(spark, d):
     FROM hit h JOIN laid l ON l.doc_id = h.doc_id AND l.i BETWEEN line_at AND line_at + 4 GROUP BY h.doc_id, line_at, top""",
 )
 def heading_boxes(spark, d):
+    """Five lines each, as the SQL has it."""
+    return heading_boxes_of(laid_out(spark, d), compat=True)
+
+
+@query(
+    "heading_boxes_whole_tables",
+    f"""WITH {Q_LAID}, hit AS (SELECT doc_id, i AS line_at, y AS top FROM laid WHERE regexp_matches(line, '(?i)(?:^|[^\\p{{L}}\\p{{N}}_])(?:the the|de la)(?:$|[^\\p{{L}}\\p{{N}}_])')),
+    runs AS (SELECT doc_id, min(i) AS a, max(i) AS z FROM (
+      SELECT doc_id, i, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS g FROM laid WHERE len(w) >= 2) GROUP BY doc_id, g),
+    ends AS (SELECT h.doc_id, line_at, top, max(z) AS z FROM hit h LEFT JOIN runs r ON r.doc_id = h.doc_id AND r.a <= line_at + 4 GROUP BY h.doc_id, line_at, top)
+    SELECT h.doc_id, line_at, 42 AS x0, CAST(greatest(0, top - 6) AS INTEGER) AS y0, max({Q_BOX_X}) + 60 AS x1, CAST(max(l.y) + 6 AS INTEGER) AS y1
+    FROM ends h JOIN laid l ON l.doc_id = h.doc_id AND l.i BETWEEN line_at AND CASE WHEN z > line_at THEN z ELSE line_at + 4 END
+    GROUP BY h.doc_id, line_at, top""",
+)
+def heading_boxes_whole_tables(spark, d):
+    return heading_boxes_of(laid_out(spark, d), compat=False)
+
+
+def heading_boxes_of(pages, compat):
     pats = [r"\bthe the\b", r"\bde la\b"]
-    found = laid_out(spark, d).select(
+    found = pages.select(
         "doc_id",
         F.explode(
             F.arrays_zip(
@@ -217,7 +254,7 @@ def heading_boxes(spark, d):
                     F.transform("lines", lambda ln, i: F.when(ln["text"].rlike("(?i)" + "|".join(f"(?:{p})" for p in pats)), i + 1)),
                     lambda i: i.isNotNull(),
                 ).alias("line_at"),
-                L.heading_boxes(c("lines"), pats).alias("b"),
+                L.heading_boxes(c("lines"), pats, compat=compat).alias("b"),
             )
         ).alias("z"),
     )

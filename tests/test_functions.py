@@ -171,3 +171,26 @@ def test_flatten_hands_titles_down_and_reads_any_depth(spark):
     assert [b.text for b in got[1]] == ["leaf"] and got[2] == got[3] == []
     assert got[4][0].headers == ["a", "b"] and got[4][0].rows == [["2", "1"], ["3", ""]]
     assert (got[4][1].title, got[4][1].text) == ("Body", "Dear reader with regards")
+
+
+def test_titles_and_regions_go_past_fixed_counts(spark):
+    from foliograph.operators import layout
+    from foliograph.schema import LINE
+
+    def line(k, text, size=10.0, n=1):
+        spans = ", ".join(f"named_struct('text', 's', 'x', {10.0 + 50 * j}D, 'y', {10.0 * k}D, 'size', {size}D, 'bold', false, 'font', 'f')" for j in range(n))
+        return f"named_struct('text', '{text}', 'x', 10.0D, 'y', {10.0 * k}D, 'size', {size}D, 'bold', false, 'spans', array({spans}))"
+
+    def page(*rows):
+        lines = "array(" + ", ".join(line(k, *r) for k, r in enumerate(rows)) + ")"
+        return spark.range(1).select(F.expr(lines).cast(f"array<{LINE}>").alias("l"))
+
+    titled = page(*[(f"line {k}", 18.0 if k == 8 else 10.0) for k in range(12)])
+    table = page(("Systematic Investment Plan",), *[(f"row {k}", 10.0, 2) for k in range(1, 13)], ("prose",), ("more prose",))
+    short = page(("Systematic Investment Plan",), *[(f"prose {k}",) for k in range(1, 13)])
+    ln = c("l")
+    assert titled.select(layout.title_candidates(ln)["title"], layout.title_candidates(ln, compat=True)["title"]).first() == ("line 8", "line 0")
+    for compat, ends in ((False, (130, 126)), (True, (80, 46))):
+        boxes = [layout.priority_box(ln, compat=compat)["y1"], layout.heading_boxes(ln, ["plan"], compat=compat)[0]["y1"]]
+        assert tuple(table.select(*boxes).first()) == ends
+        assert tuple(short.select(*boxes).first()) == (80, 46)
