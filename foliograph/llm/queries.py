@@ -270,6 +270,34 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query(
+    "op5_jaccard_links",
+    r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (
+  SELECT a, count(*) AS k FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k) GROUP BY a
+)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(l.k, 0)::BIGINT AS n_links
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN l ON w.doc_id = l.a
+""",
+)
+def op5_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and number of links of every document, with three quarters of the shingles."""
+    from foliograph.llm.jaccard_join import link_counts
+
+    return link_counts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op4_suffix_dedup")
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of 200-byte strings that also start elsewhere."""

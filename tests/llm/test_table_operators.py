@@ -7,7 +7,7 @@ import random
 from collections import Counter
 
 import pytest
-from brute import DOCS, edge_docs, near_duplicates, poisson_count, quality_counts, top_k, without_repeats
+from brute import DOCS, edge_docs, near_duplicates, poisson_count, quality_counts, shingles, top_k, without_repeats
 from pyspark.sql import functions as F
 
 from foliograph.llm import chat, jaccard_join, mixing, quality, suffix_dedup
@@ -148,6 +148,26 @@ def test_components_equal_all_pairs(spark):
     assert got == near_duplicates([(r[0], r[1]) for r in rows])
 
 
+def test_all_links_equal_all_pairs(spark, nothing, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "SQUARE", 3)  # tiles are dealt in squares
+    pick, rows = random.Random(4), near_rows()
+    base = [f"v{i}" for i in range(120)]
+    for k in range(40):  # one group of near copies, connected by its smallest id alone
+        copy = list(base)
+        copy[pick.randrange(120)] = f"u{k}"
+        rows.append((1000 + k, " ".join(copy), "en", "a", 0))
+    sets = {r[0]: shingles(r[1]) for r in rows}
+    linked = {(a, b) for a, x in sets.items() for b, y in sets.items() if a != b and x and y and 4 * len(x & y) >= 3 * len(x | y)}
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    members, found = jaccard_join.links(docs)
+    rep = {r.doc_id: r.rep for r in members.collect()}
+    assert sorted(map(tuple, found.collect())) == sorted({(rep[a], rep[b]) for a, b in linked if rep[a] > rep[b]})
+    got = {r.doc_id: (r.n_shingles, r.n_links) for r in jaccard_join.link_counts(docs).collect()}
+    count = Counter(a for a, _ in linked)
+    assert got == {d: (len(s), count[d]) for d, s in sets.items()}
+    assert jaccard_join.link_counts(nothing).count() == 0
+
+
 def test_links_are_true_and_null_ids_stand_alone(spark, nothing):
     rows = [(1, "a b c d e f g h"), (2, "A B C D E F G H"), (None, "a b c d e f g h"), (None, None), (3, " \n")]
     got = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
