@@ -59,13 +59,15 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, as little-endian unsigned 32-bit integers."""
+    """Token ids of every document, as little-endian unsigned 32-bit integers, and the digest of the text they decode to."""
     import public_tokenizers
 
     prepared(spark)
     model = sentencepiece_bpe.read_model(public_tokenizers.path("piece_bpe_32k.model"))
     ids = sentencepiece_bpe.encode(docs.select("doc_id", "source", "lang", "text"), model).drop("text")
-    return ids.withColumn("n_tokens", (F.length("token_ids") / 4).cast("long"))
+    decoded = sentencepiece_bpe.decode(ids, model)
+    digest = F.sha2(F.col("decoded").cast("binary"), 256)
+    return decoded.withColumns({"n_tokens": (F.length("token_ids") / 4).cast("long"), "decoded_sha256": digest}).drop("decoded")
 
 
 STAGES = [

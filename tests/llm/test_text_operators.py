@@ -238,3 +238,15 @@ def test_detect_awkward_rows(spark, awkward, nothing):
     assert pii.mask("12345", [("phone", 0, 3), ("card", 2, 5)]) == "<PHONE>"
     long = "word " * 50_000 + "jo@mail.example.com" + " word" * 50_000
     assert [k for k, _, _ in pii.all_spans(tagger, [long])[0][1]] == ["email"]
+
+
+# --- pipeline ---
+def test_pipeline_decodes_its_ids(spark):
+    import hashlib
+
+    import corpus_pipeline
+
+    texts = ["mail <EMAIL> or <PHONE> today", "é ß 世界 🙂", "", None]
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in enumerate(texts)], DOCS)
+    got = {r.doc_id: r.decoded_sha256 for r in corpus_pipeline.encode_texts(spark, docs, "").collect()}
+    assert got == {i: hashlib.sha256((t or "").encode()).hexdigest() for i, t in enumerate(texts)}
