@@ -4,9 +4,11 @@ Vectors and queries are dealt to a grid of cells (query block x vector block),
 so that no cell grows with the data and the work is spread. Inside a cell every
 dimension has its list of vectors sorted by value. A query walks all its lists
 in step (from the top where its own component is positive, from the bottom
-where it is negative), scores each vector when it first shows up, and stops as
-soon as the bound on all unseen vectors, the sum of the components at the
-present depth, is below its kth score. The cells' best k rows are then merged.
+where it is negative) and stops as soon as the bound on all unseen vectors, the
+sum of the components at the present depth, is below its kth score. The cells'
+best k rows are then merged. The scores are not made vector by vector as they
+show up: one product scores all vectors of a cell for all its queries, so the
+stopping rule saves looking at scores, not making them.
 
 Defined cases: a vector that is null, empty, or holds a null or non-finite
 component takes no part. Repeated rows count once. Only vectors of equal length
