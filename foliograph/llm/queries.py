@@ -323,3 +323,24 @@ def op6_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
         ranks = f.read()
     return pack(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, the strongest of them, and the document without repeated words."""
+    from foliograph.llm.periodic_runs import find_runs, strongest, with_tails
+
+    found = find_runs(with_tails(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    best = strongest(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )

@@ -6,7 +6,9 @@ import hashlib
 import math
 import random
 import re
+import zlib
 from collections import Counter
+from fractions import Fraction
 
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -119,3 +121,40 @@ def top_k(rows, queries, k):
             found = [(-sum(x * y for x, y in zip(a, b)), i) for i, b in whole if i != q and len(a) == len(b)]
             out.setdefault(q, []).extend(found)
     return {q: [(-s, i) for s, i in sorted(f)[:k]] for q, f in out.items()}
+
+
+def word_runs(w):
+    """(start, period, length) of the runs of four periods and six words, by every period and start."""
+    n, least = len(w), {}
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and w[j] == w[j + q]:
+                j += 1
+            if j + q - i >= max(6, 4 * q):
+                least.setdefault((i, j + q), q)
+            i = j + 1
+    return sorted((s, q, e - s) for (s, e), q in least.items())
+
+
+def tailed(doc, w):
+    """The words of a document after its tail is made periodic, as the id's digest says."""
+    h = zlib.crc32(str(doc).encode())
+    g, n = h // 10, len(w)
+    if doc is None or h % 10 or not n:
+        return w
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+
+
+def run_row(doc, w):
+    """n_runs, start, length, period, exponent_milli, runs_sha256, collapsed_sha256 of a document's words."""
+    runs = word_runs(w)
+    top = min(runs, key=lambda r: (-Fraction(r[2], r[1]), r[0], r[1]), default=None)
+    best = (top[0], top[2], top[1], 1000 * top[2] // top[1]) if top else (None,) * 4
+    gone = {i for s, q, n in runs for i in range(s + q, s + n)}
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    text = "".join(f"{s},{n},{q}\n" for s, q, n in runs)
+    return len(runs), *best, sha(text), sha(" ".join(x for i, x in enumerate(w) if i not in gone))
