@@ -344,3 +344,58 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+@query(
+    "op11_spelling_variants",
+    r"""
+WITH RECURSIVE crc_step AS (
+  SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c
+  FROM range(256) t(i)
+), crc AS (SELECT list(c ORDER BY i) AS t FROM crc_step),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS w
+  FROM documents WHERE text IS NOT NULL
+),
+found AS (SELECT doc_id, w, count(*) AS n FROM runs GROUP BY ALL),
+hashed AS (
+  SELECT w, n, xor(list_reduce(
+    flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || w, ''),
+      lambda x: CASE WHEN ord(x) < 128 THEN [ord(x)::BIGINT] ELSE [(192 | (ord(x) >> 6))::BIGINT, (128 | (ord(x) & 63))::BIGINT] END)),
+    lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]), 4294967295::BIGINT), 4294967295) AS h
+  FROM found, crc
+),
+counts AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, sum(n)::BIGINT AS n
+  FROM hashed GROUP BY 1
+),
+v AS (SELECT word, n FROM counts WHERE length(word) >= 6 AND n >= 5),
+less AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS k FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)),
+near AS (
+  SELECT a.word, b.word AS near FROM less a JOIN less b ON a.k = b.k AND a.i = b.i AND a.word <> b.word
+  UNION SELECT less.word, v.word FROM less JOIN v ON less.k = v.word
+  UNION SELECT v.word, less.word FROM less JOIN v ON less.k = v.word
+),
+ranked AS (
+  SELECT near.word, near.near, v.n AS near_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+         row_number() OVER (PARTITION BY near.word ORDER BY v.n DESC, near.near) AS place
+  FROM near JOIN v ON near.near = v.word
+),
+forms AS (
+  SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near,
+         CASE WHEN near_n >= 5 * v.n THEN near END AS form, CASE WHEN near_n >= 5 * v.n THEN near_n END AS form_n
+  FROM v LEFT JOIN ranked ON v.word = ranked.word AND place = 1
+),
+ways AS (
+  SELECT word, word AS root, form AS next FROM forms
+  UNION ALL SELECT ways.word, ways.next, forms.form FROM ways JOIN forms ON ways.next = forms.word
+)
+SELECT forms.word, form, root, n, n_near, form_n FROM forms JOIN ways ON forms.word = ways.word WHERE next IS NULL
+""",
+)
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with its most frequent near word and the last word that leads to."""
+    from foliograph.llm.spelling import count_words, variants
+
+    return variants(count_words(table(spark, sf_dir, "documents"), change=199))
