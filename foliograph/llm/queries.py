@@ -399,3 +399,11 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     from foliograph.llm.spelling import count_words, variants
 
     return variants(count_words(table(spark, sf_dir, "documents"), change=199))
+
+
+@query("op13_nearest_forest")
+def op13_nearest_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest rows found for each vector whose id is divisible by 50."""
+    from foliograph.llm.hash_forest import search
+
+    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
