@@ -22,6 +22,7 @@ def query(name: str, sql: str | None = None):
             reach_package(spark)
             # texts may be long: small Arrow batches keep Python workers small
             spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+            spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
             return fn(spark, sf_dir)
 
         QUERIES[name] = run

@@ -93,6 +93,12 @@ class PieceModel:
         self.spaced = {i for i, p in enumerate(self.pieces) if p.startswith(SPACE)}
         self.control = {i for i, p in enumerate(m.pieces) if p.type == kind.CONTROL}
 
+    def forget(self) -> None:
+        """Empty the tables that grow with the texts."""
+        self.parts.clear()
+        self.cores.clear()
+        self.fits.clear()
+
     def merged(self, text: str) -> list[str]:
         """Merge neighbours, best score first, then leftmost, until none can be merged (for short texts)."""
         symbols, score = list(text), self.score
@@ -227,19 +233,22 @@ def read_model(path: str) -> bytes:
         return f.read()
 
 
-def _with_column(df: DataFrame, source: str, name: str, kind: T.DataType, fn) -> DataFrame:
-    """``df`` with ``name`` = ``fn`` of each value of ``source``, in batches of bounded size."""
+def _with_column(df: DataFrame, source: str, name: str, kind: T.DataType, model: bytes, fn) -> DataFrame:
+    """``df`` with ``name`` = ``fn`` of each value of ``source``, in batches of bounded size; the model's tables end with the task."""
     schema = T.StructType([f for f in df.schema if f.name != name] + [T.StructField(name, kind)])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start, end in slices(batch.column(source)):
-                part = batch.slice(start, end - start)
-                values = pa.array([fn(x) for x in part.column(source).to_pylist()], arrow.field(name).type)
-                yield pa.RecordBatch.from_arrays(
-                    [values if f.name == name else part.column(f.name).cast(f.type) for f in arrow], schema=arrow
-                )
+        try:
+            for batch in batches:
+                for start, end in slices(batch.column(source)):
+                    part = batch.slice(start, end - start)
+                    values = pa.array([fn(x) for x in part.column(source).to_pylist()], arrow.field(name).type)
+                    yield pa.RecordBatch.from_arrays(
+                        [values if f.name == name else part.column(f.name).cast(f.type) for f in arrow], schema=arrow
+                    )
+        finally:  # the worker may go on with other work
+            piece_model(model).forget()
 
     return df.mapInArrow(run, schema)
 
@@ -252,11 +261,11 @@ def encode(df: DataFrame, model: bytes, text: str = "text", ids: str = "token_id
         body = m.encode(value or "")
         return np.array([m.begin], "<u4").tobytes() + body + np.array([m.end], "<u4").tobytes() if ends else body
 
-    return _with_column(df, text, ids, T.BinaryType(), one)
+    return _with_column(df, text, ids, T.BinaryType(), model, one)
 
 
 def decode(df: DataFrame, model: bytes, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
     """``df`` with ``text`` decoded from ``ids``."""
     return _with_column(
-        df, ids, text, T.StringType(), lambda x: piece_model(model).decode(np.frombuffer(x or b"", "<u4"))
+        df, ids, text, T.StringType(), model, lambda x: piece_model(model).decode(np.frombuffer(x or b"", "<u4"))
     )
