@@ -233,9 +233,9 @@ def read_model(path: str) -> bytes:
         return f.read()
 
 
-def _with_column(df: DataFrame, source: str, name: str, kind: T.DataType, model: bytes, fn) -> DataFrame:
-    """``df`` with ``name`` = ``fn`` of each value of ``source``, in batches of bounded size; the model's tables end with the task."""
-    schema = T.StructType([f for f in df.schema if f.name != name] + [T.StructField(name, kind)])
+def _with_columns(df: DataFrame, source: str, added: dict[str, T.DataType], model: bytes, fn) -> DataFrame:
+    """``df`` with the columns ``added`` = ``fn`` of each value of ``source``, in batches of bounded size; the model's tables end with the task."""
+    schema = T.StructType([f for f in df.schema if f.name not in added] + [T.StructField(n, t) for n, t in added.items()])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,29 +243,42 @@ def _with_column(df: DataFrame, source: str, name: str, kind: T.DataType, model:
             for batch in batches:
                 for start, end in slices(batch.column(source)):
                     part = batch.slice(start, end - start)
-                    values = pa.array([fn(x) for x in part.column(source).to_pylist()], arrow.field(name).type)
-                    yield pa.RecordBatch.from_arrays(
-                        [values if f.name == name else part.column(f.name).cast(f.type) for f in arrow], schema=arrow
-                    )
+                    rows = [fn(x) for x in part.column(source).to_pylist()]
+                    new = {n: pa.array([r[i] for r in rows], arrow.field(n).type) for i, n in enumerate(added)}
+                    yield pa.RecordBatch.from_arrays([new[f.name] if f.name in new else part.column(f.name).cast(f.type) for f in arrow], schema=arrow)
         finally:  # the worker may go on with other work
             piece_model(model).forget()
 
     return df.mapInArrow(run, schema)
 
 
-def encode(df: DataFrame, model: bytes, text: str = "text", ids: str = "token_ids", ends: bool = True) -> DataFrame:
-    """``df`` with ``ids``: the whole text's ids as little-endian unsigned 32-bit integers."""
+def _encoded(model: bytes, value: str | None, ends: bool) -> bytes:
+    m = piece_model(model)
+    body = m.encode(value or "")
+    return np.array([m.begin], "<u4").tobytes() + body + np.array([m.end], "<u4").tobytes() if ends else body
+
 
-    def one(value: str | None) -> bytes:
-        m = piece_model(model)
-        body = m.encode(value or "")
-        return np.array([m.begin], "<u4").tobytes() + body + np.array([m.end], "<u4").tobytes() if ends else body
+def _decoded(model: bytes, ids: bytes | None) -> str:
+    return piece_model(model).decode(np.frombuffer(ids or b"", "<u4"))
 
-    return _with_column(df, text, ids, T.BinaryType(), model, one)
+
+def encode(df: DataFrame, model: bytes, text: str = "text", ids: str = "token_ids", ends: bool = True) -> DataFrame:
+    """``df`` with ``ids``: the whole text's ids as little-endian unsigned 32-bit integers."""
+    return _with_columns(df, text, {ids: T.BinaryType()}, model, lambda x: (_encoded(model, x, ends),))
 
 
 def decode(df: DataFrame, model: bytes, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
     """``df`` with ``text`` decoded from ``ids``."""
-    return _with_column(
-        df, ids, text, T.StringType(), model, lambda x: piece_model(model).decode(np.frombuffer(x or b"", "<u4"))
-    )
+    return _with_columns(df, ids, {text: T.StringType()}, model, lambda x: (_decoded(model, x),))
+
+
+def encode_and_decode(
+    df: DataFrame, model: bytes, text: str = "text", ids: str = "token_ids", decoded: str = "decoded", ends: bool = True
+) -> DataFrame:
+    """``df`` with ``ids`` of ``text`` and the text ``decoded`` from them, by one Python worker where two steps take two."""
+
+    def both(value: str | None) -> tuple[bytes, str]:
+        found = _encoded(model, value, ends)
+        return found, _decoded(model, found)
+
+    return _with_columns(df, text, {ids: T.BinaryType(), decoded: T.StringType()}, model, both)

@@ -91,6 +91,9 @@ def test_pieces_in_spark(awkward, nothing, model, library):
     for r in done:
         want = [1, *library.encode(r.text or ""), 2]
         assert np.frombuffer(r.token_ids, "<u4").tolist() == want and r.decoded == library.decode(want)
+    once = sentencepiece_bpe.encode_and_decode(awkward.withColumnRenamed("copy", "decoded"), model).collect()
+    facts = lambda rows: sorted((r.doc_id, bytes(r.token_ids), r.decoded) for r in rows)
+    assert facts(once) == facts(done)
     assert sentencepiece_bpe.encode(nothing, model).count() == 0
 
 
