@@ -66,8 +66,7 @@ def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     prepared(spark)
     model = sentencepiece_bpe.read_model(public_tokenizers.path("piece_bpe_32k.model"))
-    ids = sentencepiece_bpe.encode(docs.select("doc_id", "source", "lang", "text"), model).drop("text")
-    decoded = sentencepiece_bpe.decode(ids, model)
+    decoded = sentencepiece_bpe.encode_and_decode(docs.select("doc_id", "source", "lang", "text"), model).drop("text")
     digest = F.sha2(F.col("decoded").cast("binary"), 256)
     return decoded.withColumns({"n_tokens": (F.length("token_ids") / 4).cast("long"), "decoded_sha256": digest}).drop("decoded")
 
