@@ -24,7 +24,12 @@ c = F.col
 
 def turn_pages(spark, d):
     """Conversations as documents, turns as pages; texts end without a period."""
-    return wide_table(spark, d, "conversations", "conv_id", "turn", "role", "text").select(
+    return as_pages(wide_table(spark, d, "conversations", "conv_id", "turn", "role", "text"))
+
+
+def as_pages(turns, *more):
+    return turns.select(
+        *more,
         F.concat(F.lit("conv_"), c("conv_id").cast("string")).alias("source"),
         (c("turn") + 1).cast("int").alias("page"),
         "role",
@@ -96,15 +101,20 @@ ch AS (SELECT source, page, k + 1 AS seq, source || ' > turn' || chr(10) || chr(
     SELECT source, page, head_text AS text, stitched FROM walk""",
 )
 def page_stitch(spark, d):
+    pages = settle(window_chunks(turn_pages(spark, d)))
+    return stitch_pages(pages).select("source", "page", F.get("chunks", F.lit(0))["text"].alias("text"), "stitched")
+
+
+def window_chunks(pages, *more):
+    """(source, page, chunks): chunks of 180 words under a heading."""
     prefix = F.concat(c("source"), F.lit(" > turn\n\n"))
     units = F.when(word_count(c("text")) == 0, F.array(F.lit(""))).otherwise(word_windows(c("text"), 180))
-    pages = turn_pages(spark, d).select(
-        "source", "page", H.number_chunks(
+    return pages.select(
+        *more, "source", "page", H.number_chunks(
             F.transform(units, lambda u: F.struct(F.lit("text").alias("type"), F.concat(prefix, u).alias("text"))),
             c("source"), c("page"),
         ).cast(f"array<{CHUNK}>").alias("chunks"),
     )
-    return stitch_pages(settle(pages)).select("source", "page", F.get("chunks", F.lit(0))["text"].alias("text"), "stitched")
 
 
 def _typed_turns(spark, d):

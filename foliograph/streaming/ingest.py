@@ -1,12 +1,14 @@
 """Page files and page tables as streams.
 
 Chunking a page needs nothing but the page, so it runs on a stream without
-state. Stitching needs page order and reads the finished table instead
-(``operators.stitch``), whatever order pages arrived in.
+state. Stitching needs page order: ``streaming.stitch`` keeps it as state,
+``operators.stitch`` reads the finished table.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from foliograph.operators.blocks import page_blocks
 from foliograph.operators.chunks import chunk_pages
 from foliograph.plans.pipeline import NO_DATE
+from foliograph.session import checkpoint_dir
 from foliograph.sources.pages import page_source, typed_pages
 
 
@@ -56,3 +59,18 @@ def write_stream(pages: DataFrame, path: str, checkpoint: str) -> StreamingQuery
         .outputMode("append")
         .start()
     )
+
+
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A parquet table as a stream of its files."""
+    path = f"{sf_dir}/{name}.parquet"
+    # a pattern, since streams of files take no single file
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path.replace(f"{name[-1]}.parquet", f"[{name[-1]}].parquet"))
+
+
+def finished(stream: DataFrame, label: str) -> DataFrame:
+    """What a stream gives out until its input is used up, written to the shared folder and read back."""
+    spark = stream.sparkSession
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    write_stream(stream, f"{folder}/rows", f"{folder}/progress").awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
