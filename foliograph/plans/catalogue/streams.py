@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from foliograph.plans.catalogue.pages import as_pages, window_chunks
 from foliograph.plans.registry import ORACLE, query
+from foliograph.session import checkpoint_dir
+from foliograph.sources.sinks import manifest, write_page_batches, written_pages
 from foliograph.streaming.ingest import finished, stream_table
 from foliograph.streaming.stitch import keep_state_in_rocksdb, stitch_stream
 from foliograph.streaming.windows import sessions, windows
@@ -59,3 +63,22 @@ def stream_windows(spark, d):
     """Events of each type in windows of an hour, one every half hour, an hour behind the latest event."""
     found = finished(windows(event_stream(spark, d), ["event_type"], "1 hour", "1 hour", measures(), step="30 minutes"), "stream-windows")
     return found.withColumns({n: F.unix_micros(n) for n in ("window_start", "window_end")})
+
+
+@query(
+    "stream_manifest",
+    """SELECT 'conv_' || conv_id AS source, CASE WHEN conv_id % 2 = 0 THEN 'even' ELSE 'odd' END AS provider,
+        CAST(max(turn) + 1 AS INTEGER) AS total_pages, count(*) AS done_pages,
+        CASE WHEN count(*) = max(turn) + 1 THEN 'complete' ELSE 'partial' END AS status
+    FROM conversations WHERE turn % 7 <> 5 GROUP BY conv_id""",
+)
+def stream_manifest(spark, d):
+    """What two runs with a provider each have written of the conversations, whose sixth turns are missing."""
+    turns, found = stream_table(spark, d, "conversations").where("turn % 7 <> 5"), None
+    for part, provider in enumerate(("even", "odd")):
+        pages = as_pages(turns.where(c("conv_id") % 2 == part))
+        folder = f"{checkpoint_dir(spark).rstrip('/')}/stream-manifest-{uuid.uuid4().hex}"
+        write_page_batches(pages, folder, f"{folder}/progress", provider).awaitTermination()
+        seen = manifest(written_pages(spark, folder, pages.schema))
+        found = seen if found is None else found.unionByName(seen)
+    return found

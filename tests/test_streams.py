@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from foliograph.operators.stitch import stitch_pages
 from foliograph.schema import CHUNK
+from foliograph.sources.sinks import manifest, write_page_batches, written_pages
 from foliograph.streaming.ingest import write_stream
 from foliograph.streaming.stitch import keep_state_in_rocksdb, stitch_stream
 from foliograph.streaming.windows import sessions, windows
@@ -112,3 +113,25 @@ def test_windows_overlap_and_close_behind_the_watermark(spark, tmp_path):
     done = run_batches(spark, str(tmp_path), [spark.createDataFrame(rows, EVENTS)], "out", lambda s: windows(s, ["user_id"], "30 minutes", "30 minutes", [F.count("*").alias("n")], step="15 minutes"))
     minutes = lambda t: int((t - START).total_seconds() // 60)
     assert sorted((minutes(r.window_start), r.n) for r in done.collect()) == [(-15, 2), (0, 3), (15, 2), (30, 1)]
+
+
+def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
+    """The record of a finished batch is taken away, as if the stream had been stopped before it was written."""
+    schema = "source string, page int, text string"
+    write = lambda rows: spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+
+    def run():
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        write_page_batches(stream, f"{tmp_path}/out", f"{tmp_path}/progress", "one").awaitTermination()
+        return written_pages(spark, f"{tmp_path}/out", stream.schema)
+
+    write([("a", 1, "x"), ("a", 1, "x"), ("a", 2, "y"), (None, 1, "z"), ("a", None, "z")])
+    run()
+    write([("a", 2, "again"), ("a", 4, "w"), ("b", 1, "v")])
+    whole = [("a", 1, "x", 0), ("a", 2, "y", 0), ("a", 4, "w", 1), ("b", 1, "v", 1)]
+    facts = lambda df: sorted((r.source, r.page, r.text, r.batch) for r in df.collect())
+    assert facts(run()) == whole
+    for name in ("1", ".1.crc"):
+        (tmp_path / "progress" / "commits" / name).unlink(missing_ok=True)
+    assert facts(run()) == whole
+    assert sorted(map(tuple, manifest(run()).collect())) == [("a", "one", 4, 3, "partial"), ("b", "one", 1, 1, "complete")]
