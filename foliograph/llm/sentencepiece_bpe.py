@@ -39,7 +39,7 @@ from foliograph.llm.common import slices
 
 SPACE = "▁"
 #: Entries of the caches for parts, cores and pairs; a full cache starts anew.
-PARTS, CORES, PAIRS = 200_000, 400_000, 300_000
+PARTS, CORES, PAIRS = 100_000, 200_000, 150_000
 #: Runs of letters, of white space, of digits, of anything else: cuts lie between them.
 CLASSES = re.compile(r"[^\W\d_]+|\s|[\d_]+|[^\w\s]+")
 #: High bytes while they wait to be decoded, as in Python's surrogateescape.
