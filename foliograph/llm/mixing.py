@@ -51,15 +51,19 @@ def source_rates(docs: DataFrame, weights: DataFrame | None = None, power: float
     """(source, rate) and the number of sources.
 
     ``weights`` has (source, weight); without it a source weighs its number of
-    rows to the ``power``: 1 keeps the mix, 0 makes all sources equal.
+    rows to the ``power``: 1 keeps the mix, 0 makes all sources equal. Weights of
+    a source that is given more than once are added up; null, negative, infinite
+    and NaN weights count as nothing.
     """
     rows = docs.groupBy("source").agg(F.count("*").alias("_n"))
     if weights is None:
         rows = rows.withColumn("_w", F.pow(F.col("_n").cast("double"), F.lit(power)))
     else:
-        w = weights.select(F.col("source").alias("_s"), F.col("weight").cast("double").alias("_w"))
+        given = F.col("weight").cast("double")
+        usable = F.when((given > 0) & (given < float("inf")), given)
+        w = weights.groupBy(F.col("source").alias("_s")).agg(F.sum(usable).alias("_w"))
         rows = rows.join(w, rows["source"].eqNullSafe(w["_s"]), "left").drop("_s")
-        rows = rows.withColumn("_w", F.greatest(F.coalesce("_w", F.lit(0.0)), F.lit(0.0)))
+        rows = rows.withColumn("_w", F.coalesce("_w", F.lit(0.0)))
     whole = rows.agg(F.sum("_n").alias("n"), F.sum("_w").alias("w"), F.count("*").alias("sources")).first()
     scale = (whole.n or 0) / whole.w if whole.w else 0.0
     rate = F.col("_w") / F.col("_n") * F.lit(float(scale))
@@ -67,15 +71,20 @@ def source_rates(docs: DataFrame, weights: DataFrame | None = None, power: float
 
 
 def mix(docs: DataFrame, weights: DataFrame | None = None, power: float = 0.5, seed: int = 7) -> DataFrame:
-    """``docs`` replicated to the target weights and shuffled globally, with ``copy`` counted from 1."""
+    """``docs`` replicated to the target weights and shuffled globally, with ``copy`` counted from 1.
+
+    All columns of ``docs`` stay but one of the name ``copy``.
+    """
     rates, sources = source_rates(docs, weights, power)
     parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / PART)).cast("int")
+    docs = docs.drop("copy")
+    end = "_" * (1 + max((len(c) for c in docs.columns), default=0))  # longer than any column's name, so no clash
+    own_source, own_parts, own_steps, own_count = (name + end for name in ("source", "parts", "steps", "count"))
     plan = rates.select(
-        F.col("source").alias("_source"), parts.alias("_parts"), poisson_steps(F.col("rate") / parts).alias("_steps")
+        F.col("source").alias(own_source), parts.alias(own_parts), poisson_steps(F.col("rate") / parts).alias(own_steps)
     )
-    docs = docs.drop("copy")
-    count = draws(seed, docs["doc_id"], F.col("_parts"), F.col("_steps"))
-    drawn = join_small(docs, plan, docs["source"].eqNullSafe(plan["_source"]), sources).withColumn("_count", count)
-    copies = drawn.where(F.col("_count") > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_count"))))
+    count = draws(seed, docs["doc_id"], F.col(own_parts), F.col(own_steps))
+    drawn = join_small(docs, plan, docs["source"].eqNullSafe(plan[own_source]), sources).withColumn(own_count, count)
+    copies = drawn.where(F.col(own_count) > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col(own_count))))
     order = F.xxhash64(F.lit(seed), "doc_id", "copy")
-    return copies.orderBy(order, "doc_id", "copy").drop("_source", "_parts", "_steps", "_count")
+    return copies.orderBy(order, "doc_id", "copy").drop(own_source, own_parts, own_steps, own_count)

@@ -38,6 +38,15 @@ def test_poisson_means(spark):
     assert abs(got["few"] - 2000) < 5 * math.sqrt(2000) and abs(got["many"] - 2000) < 5 * math.sqrt(2000)
 
 
+def test_mix_keeps_columns_and_adds_weights_up(awkward, spark):
+    given = lambda rows: spark.createDataFrame(rows, "source string, weight double")
+    docs = awkward.withColumns({n: F.lit("mine") for n in ("_count", "_source", "_parts", "_steps", "rate")})
+    once = mixing.mix(docs, given([("a", 3.0), ("b", 1.0)]))
+    again = mixing.mix(docs, given([("a", 1.0), ("a", 2.0), ("b", 1.0), ("a", None), ("b", float("nan")), ("b", -2.0), (None, float("inf"))]))
+    facts = lambda df: sorted((str(r.doc_id), r.copy, r._count, r.rate) for r in df.select("doc_id", "copy", "_count", "rate").collect())
+    assert sorted(once.columns) == sorted(docs.columns) and facts(once) == facts(again) and facts(once)
+
+
 def test_mix_empty(nothing):
     assert mixing.mix(nothing).count() == 0
 
