@@ -342,29 +342,20 @@ def _bullet_units(x: Column) -> Column:
 
 
 def glue_short_units(units: Column, min_words: int = K.UNIT_MIN_WORDS) -> Column:
-    """Append following units until each holds ``min_words`` words."""
-    zero = F.struct(
-        F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("buf")
-    )
+    """Append following units until each holds ``min_words`` words.
 
-    def step(acc: Column, u: Column) -> Column:
-        grow = word_count(acc["buf"]) < min_words
-        first = acc["buf"].isNull()
-        return F.struct(
-            F.when(first | grow, acc["done"])
-            .otherwise(F.concat(acc["done"], F.array(acc["buf"])))
-            .alias("done"),
-            F.when(first, u).when(grow, strip(F.concat_ws(" ", acc["buf"], u))).otherwise(u).alias("buf"),
-        )
+    Words of units joined by a space add up, so the fold carries a number.
+    """
+    from foliograph.functions.scan import group_starts, groups
 
-    return F.aggregate(
-        units,
-        zero,
-        step,
-        lambda acc: F.when(acc["buf"].isNull(), acc["done"]).otherwise(
-            F.concat(acc["done"], F.array(acc["buf"]))
-        ),
+    starts = group_starts(
+        F.transform(units, word_count),
+        F.lit(None).cast("int"),
+        lambda held, n: held.isNull() | (held >= min_words),
+        lambda held, n, opens: F.when(opens, n).otherwise(held + n).cast("int"),
     )
+    glued = lambda us: F.when(F.size(us) > 1, strip(F.array_join(us, " "))).otherwise(F.get(us, F.lit(0)))
+    return let(units, lambda us: groups(us, starts, glued))
 
 
 def dedup_units(units: Column) -> Column:

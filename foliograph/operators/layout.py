@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from foliograph import constants as K
+from foliograph.functions.scan import group_starts, groups, neighbour_starts
 from foliograph.functions.text import (
     bold_ratio,
     is_all_caps,
@@ -61,31 +62,29 @@ def lines_from_spans(span_lines: Column) -> Column:
 
 
 def merge_lines(lines: Column, gap: float = K.LINE_GAP) -> Column:
-    """Join lines within ``gap`` of the first line of their group."""
-    zero = F.struct(F.array().cast(f"array<{LINE}>").alias("done"), F.lit(None).cast(LINE).alias("open"))
-
-    def step(acc: Column, ln: Column) -> Column:
-        cur = acc["open"]
-        joins = cur.isNotNull() & (F.abs(ln["y"] - cur["y"]) <= gap)
-        merged = F.struct(
-            F.concat_ws("\n", cur["text"], ln["text"]).alias("text"),
-            cur["x"].alias("x"),
-            cur["y"].alias("y"),
-            F.greatest(cur["size"], ln["size"]).alias("size"),
-            (cur["bold"] | ln["bold"]).alias("bold"),
-            F.concat(cur["spans"], ln["spans"]).alias("spans"),
+    """Join lines within ``gap`` of the first line of their group; null texts are left out, null lines go."""
+
+    def joined(group: Column) -> Column:
+        head = F.get(group, F.lit(0))
+        texts = F.transform(group, lambda ln: ln["text"])
+        many = F.struct(
+            F.array_join(texts, "\n").alias("text"),
+            head["x"].alias("x"),
+            head["y"].alias("y"),
+            F.array_max(F.transform(group, lambda ln: ln["size"])).alias("size"),
+            F.exists(group, lambda ln: ln["bold"]).alias("bold"),
+            F.flatten(F.transform(group, lambda ln: ln["spans"])).alias("spans"),
         )
-        return F.struct(
-            F.when(joins | cur.isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(cur))).alias("done"),
-            F.when(joins, merged).otherwise(ln).alias("open"),
-        )
-
-    return F.aggregate(
-        lines,
-        zero,
-        step,
-        lambda acc: F.when(acc["open"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["open"]))),
+        return F.when(F.size(group) > 1, many).otherwise(head)
+
+    ys = F.transform(lines, lambda ln: F.when(ln.isNotNull(), F.struct(ln["y"].alias("y"))))
+    starts = group_starts(
+        ys,
+        F.lit(None).cast("struct<y:double>"),
+        lambda at, ln: ~F.coalesce(F.abs(ln["y"] - at["y"]) <= gap, F.lit(False)),
+        lambda at, ln, opens: F.when(opens, ln).otherwise(at),
     )
+    return F.array_compact(let(lines, lambda ls: groups(ls, starts, joined)))
 
 
 def array_upper_median(values: Column) -> Column:
@@ -173,24 +172,17 @@ def promote_headings(sections: Column) -> Column:
 
 
 def merge_same_headings(sections: Column) -> Column:
-    """Neighbouring sections with the same heading, ignoring case, become one."""
-    zero = F.array().cast(f"array<{SECTION}>")
+    """Neighbouring sections with the same heading, ignoring case, become one; empty contents are left out."""
 
-    def step(acc: Column, s: Column) -> Column:
-        last = F.try_element_at(acc, F.lit(-1))
-        same = (text_or_empty(s["heading"]) != "") & (
-            F.lower(strip(last["heading"])) == F.lower(strip(s["heading"]))
-        )
-        joined = F.struct(
-            last["heading"].alias("heading"),
-            strip(F.concat_ws(" ", last["content"], F.nullif(s["content"], F.lit("")))).alias("content"),
-        )
-        return F.when(
-            F.coalesce(same, F.lit(False)),
-            F.concat(F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))), F.array(joined)),
-        ).otherwise(F.concat(acc, F.array(s)))
+    def joined(group: Column) -> Column:
+        head = F.get(group, F.lit(0))
+        contents = F.filter(F.transform(group, lambda s: s["content"]), lambda c: c != "")
+        many = F.struct(head["heading"].alias("heading"), strip(F.array_join(contents, " ")).alias("content"))
+        return F.when(F.size(group) > 1, many).otherwise(head)
 
-    return F.aggregate(sections, zero, step)
+    keys = F.transform(sections, lambda s: F.lower(strip(text_or_empty(s["heading"]))))
+    starts = let(keys, lambda ks: neighbour_starts(ks, lambda before, key: (key == "") | (before != key)))
+    return let(sections, lambda ss: groups(ss, starts, joined))
 
 
 def page_sections(lines: Column, gap: float = K.LINE_GAP) -> Column:
@@ -287,19 +279,21 @@ def glossary_box(lines: Column) -> Column:
 
 
 def rows_by_y(lines: Column) -> Column:
-    """Lines that share a rounded y, with all their span positions and texts."""
+    """Lines that share a rounded y, with all their span positions and texts; lines without y give no spans."""
     keyed = F.transform(
-        lines, lambda ln: F.struct(_int(ln["y"]).alias("y"), ln["spans"].alias("spans"))
+        lines, lambda ln, i: F.struct(ln["y"].isNull().alias("last"), _int(ln["y"]).alias("y"), i.alias("i"))
     )
+
+    def row(group: Column) -> Column:
+        known = F.filter(group, lambda k: k["y"].isNotNull())
+        return F.struct(
+            F.get(group, F.lit(0))["y"].alias("y"),
+            F.flatten(F.transform(known, lambda k: F.get(lines, k["i"])["spans"])).alias("spans"),
+        )
+
     return let(
-        keyed,
-        lambda ks: F.transform(
-            F.array_sort(F.array_distinct(F.transform(ks, lambda k: k["y"]))),
-            lambda y: F.struct(
-                y.alias("y"),
-                F.flatten(F.transform(F.filter(ks, lambda k: k["y"] == y), lambda k: k["spans"])).alias("spans"),
-            ),
-        ),
+        F.array_sort(keyed),
+        lambda ks: groups(ks, neighbour_starts(ks, lambda a, b: ~a["y"].eqNullSafe(b["y"])), row),
     )
 
 
@@ -439,17 +433,8 @@ def fallback_text(lines: Column) -> Column:
                 (F.coalesce(ln["bold"], F.lit(False)) | (ln["size"] >= median + 1.0)).alias("heading"),
             ),
         )
-        zero = F.array().cast("array<string>")
-
-        def step(acc: Column, ln: Column) -> Column:
-            last = F.try_element_at(acc, F.lit(-1))
-            grown = F.concat(
-                F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))),
-                F.array(F.concat(last, F.lit("\n"), ln["text"])),
-            )
-            return F.when(ln["heading"] | (F.size(acc) == 0), F.concat(acc, F.array(ln["text"]))).otherwise(grown)
-
         kept = F.filter(flagged, lambda f: f["text"] != "")
-        return F.array_join(F.aggregate(kept, zero, step), "\n\n")
+        between = lambda f, i: F.when(i == 0, "").when(f["heading"], "\n\n").otherwise("\n")
+        return F.array_join(F.transform(kept, lambda f, i: F.concat(between(f, i), f["text"])), "")
 
     return let(F.coalesce(array_upper_median(sizes), F.lit(0.0)), build)
