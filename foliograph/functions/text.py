@@ -348,14 +348,14 @@ def glue_short_units(units: Column, min_words: int = K.UNIT_MIN_WORDS) -> Column
     """
     from foliograph.functions.scan import group_starts, groups
 
-    starts = group_starts(
-        F.transform(units, word_count),
+    starts = lambda us: group_starts(
+        F.transform(us, word_count),
         F.lit(None).cast("int"),
         lambda held, n: held.isNull() | (held >= min_words),
         lambda held, n, opens: F.when(opens, n).otherwise(held + n).cast("int"),
     )
     glued = lambda us: F.when(F.size(us) > 1, strip(F.array_join(us, " "))).otherwise(F.get(us, F.lit(0)))
-    return let(units, lambda us: groups(us, starts, glued))
+    return let(units, lambda us: groups(us, starts(us), glued))
 
 
 def dedup_units(units: Column) -> Column:
@@ -365,15 +365,14 @@ def dedup_units(units: Column) -> Column:
     that differs from its neighbour before it.
     """
 
-    def firsts(keys: Column) -> Column:
+    def firsts(us: Column, keys: Column) -> Column:
         new = F.filter(
             keys, lambda k, j: (k["key"] != "") & ((j == 0) | (k["key"] != F.coalesce(F.get(keys, j - 1)["key"], F.lit(""))))
         )
-        return F.transform(F.sort_array(F.transform(new, lambda k: k["i"])), lambda i: F.get(units, i))
+        return F.transform(F.sort_array(F.transform(new, lambda k: k["i"])), lambda i: F.get(us, i))
 
-    return let(
-        F.array_sort(F.transform(units, lambda u, i: F.struct(unit_key(u).alias("key"), i.alias("i")))), firsts
-    )
+    keyed = lambda us: F.array_sort(F.transform(us, lambda u, i: F.struct(unit_key(u).alias("key"), i.alias("i"))))
+    return let(units, lambda us: let(keyed(us), lambda keys: firsts(us, keys)))
 
 
 def split_points(

@@ -77,14 +77,13 @@ def merge_lines(lines: Column, gap: float = K.LINE_GAP) -> Column:
         )
         return F.when(F.size(group) > 1, many).otherwise(head)
 
-    ys = F.transform(lines, lambda ln: F.when(ln.isNotNull(), F.struct(ln["y"].alias("y"))))
-    starts = group_starts(
-        ys,
+    starts = lambda ls: group_starts(
+        F.transform(ls, lambda ln: F.when(ln.isNotNull(), F.struct(ln["y"].alias("y")))),
         F.lit(None).cast("struct<y:double>"),
         lambda at, ln: ~F.coalesce(F.abs(ln["y"] - at["y"]) <= gap, F.lit(False)),
         lambda at, ln, opens: F.when(opens, ln).otherwise(at),
     )
-    return F.array_compact(let(lines, lambda ls: groups(ls, starts, joined)))
+    return F.array_compact(let(lines, lambda ls: groups(ls, starts(ls), joined)))
 
 
 def array_upper_median(values: Column) -> Column:
@@ -95,20 +94,24 @@ def flag_headings(lines: Column, gap: float = K.LINE_GAP) -> Column:
     """Each line with its text and whether it is a heading of the page."""
 
     def build(median: Column) -> Column:
-        def one(ln: Column, i: Column) -> Column:
-            text = strip(text_or_empty(ln["text"]))
+        def judge(text: Column, ln: Column, i: Column) -> Column:
+            # Every rule asks for letters above the median, so most lines end at the first comparison.
             n = word_count(text)
             size = F.coalesce(ln["size"], F.lit(0.0))
             letters = F.regexp_count(text, F.lit(r"\p{L}"))
-            rule = (
-                ((bold_ratio(ln["spans"]) >= 0.70) & (n <= 9) & (size >= median + 0.6))
-                | (is_all_caps(text) & (n <= 8) & (size >= median + 0.2))
-                | ((i < 4) & (size >= median + 1.0) & (n <= 12))
+            rule = (size >= median + 0.2) & (
+                ((i < 4) & (size >= median + 1.0) & (n <= 12))
+                | ((size >= median + 0.6) & (n <= 9) & (bold_ratio(ln["spans"]) >= 0.70))
+                | ((n <= 8) & is_all_caps(text))
             )
             noise = starts_noise(text) | (letters < F.greatest(F.lit(1), F.length(text)) * 0.25) | (F.length(text) > 220)
             after = F.get(lines, i + 1)["y"]
             wrapped = after.isNotNull() & (after - ln["y"] <= gap)
-            return F.struct(text.alias("text"), (rule & ~noise & ~F.coalesce(wrapped, F.lit(False)) & (n <= 25)).alias("heading"))
+            heading = rule & ~F.coalesce(wrapped, F.lit(False)) & (n <= 25) & ~noise
+            return F.struct(text.alias("text"), heading.alias("heading"))
+
+        def one(ln: Column, i: Column) -> Column:
+            return let(strip(text_or_empty(ln["text"])), lambda text: judge(text, ln, i))
 
         return F.transform(lines, one)
 
@@ -180,9 +183,9 @@ def merge_same_headings(sections: Column) -> Column:
         many = F.struct(head["heading"].alias("heading"), strip(F.array_join(contents, " ")).alias("content"))
         return F.when(F.size(group) > 1, many).otherwise(head)
 
-    keys = F.transform(sections, lambda s: F.lower(strip(text_or_empty(s["heading"]))))
-    starts = let(keys, lambda ks: neighbour_starts(ks, lambda before, key: (key == "") | (before != key)))
-    return let(sections, lambda ss: groups(ss, starts, joined))
+    keys = lambda ss: F.transform(ss, lambda s: F.lower(strip(text_or_empty(s["heading"]))))
+    starts = lambda ss: let(keys(ss), lambda ks: neighbour_starts(ks, lambda before, key: (key == "") | (before != key)))
+    return let(sections, lambda ss: groups(ss, starts(ss), joined))
 
 
 def page_sections(lines: Column, gap: float = K.LINE_GAP) -> Column:
