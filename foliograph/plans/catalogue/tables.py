@@ -9,7 +9,7 @@ from foliograph.functions import tables as X
 from foliograph.operators import ordered as O
 from foliograph.operators import repair as R
 from foliograph.operators.ordered import upper_median
-from foliograph.plans.registry import Q_LINES, document_lines, q_norm, query, table, text_array, wide_table
+from foliograph.plans.registry import Q_LINES, document_lines, q_count, q_norm, q_strip, query, table, text_array, wide_table
 
 c = F.col
 SHOW = "lambda v: coalesce(v, '<null>')"
@@ -351,6 +351,56 @@ def glossary_pairs(spark, d):
     )
 
 
+Q_TERM = r"""n <= 8 AND ((letters > 0 AND uppers * 1.0 / letters >= 0.6)
+      OR (regexp_full_match(line, '[A-Z0-9/&\-\s.()]{1,30}') AND upper(line) = line)
+      OR (n <= 3 AND length(line) < 40 AND NOT regexp_matches(line, '[.:;]')
+          AND (upper(line) = line OR regexp_matches(line, '^\p{Lu}'))))"""
+
+
+@query(
+    "glossary_tables",
+    rf"""WITH d AS (
+      SELECT doc_id, coalesce(regexp_replace(text, '[.,] +', chr(10), 'g'), '') AS content,
+        CASE WHEN doc_id % 5 = 0 THEN 'Notes' ELSE 'A Glossary of ' || source END AS heading FROM documents),
+    raw AS (SELECT doc_id, unnest(string_split(content, chr(10))) AS ln,
+      generate_subscripts(string_split(content, chr(10)), 1) AS pos FROM d WHERE heading <> 'Notes'),
+    lines AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS i, {q_strip('ln')} AS line
+      FROM raw WHERE {q_strip('ln')} <> ''),
+    facts AS (SELECT *, {q_count('line')} AS n, len(regexp_extract_all(line, '\p{{L}}')) AS letters,
+      len(regexp_extract_all(line, '\p{{Lu}}')) AS uppers FROM lines),
+    marked AS (SELECT doc_id, i, line, {Q_TERM} AS term FROM facts),
+    islands AS (SELECT *, count(*) FILTER (term) OVER (PARTITION BY doc_id ORDER BY i) AS g,
+      count(*) FILTER (term) OVER (PARTITION BY doc_id) AS terms, count(*) OVER (PARTITION BY doc_id) AS n FROM marked),
+    pairs AS (
+      SELECT doc_id, g AS k, max(line) FILTER (term) AS a, coalesce(string_agg(line, ' ' ORDER BY i) FILTER (NOT term), '') AS b
+      FROM islands WHERE g > 0 GROUP BY doc_id, g
+      UNION ALL SELECT doc_id, (i + 1) // 2, max(line) FILTER (i % 2 = 1), max(line) FILTER (i % 2 = 0)
+      FROM islands WHERE terms = 0 AND i <= n - n % 2 GROUP BY doc_id, (i + 1) // 2),
+    made AS (SELECT doc_id, count(*) AS n_rows, string_agg(a || ' = ' || b, chr(10) ORDER BY k) AS pairs FROM pairs GROUP BY doc_id),
+    fresh AS (SELECT * FROM made WHERE n_rows <> 1 + doc_id % 4)
+    SELECT d.doc_id, f.doc_id IS NOT NULL AS made, coalesce(n_rows, 0) AS n_rows, coalesce(pairs, '') AS pairs,
+      CASE WHEN f.doc_id IS NULL THEN d.content ELSE '' END AS left_over
+    FROM d LEFT JOIN fresh f ON d.doc_id = f.doc_id""",
+)
+def glossary_tables(spark, d):
+    """Each text is a section, mostly a glossary, on a page whose one table has its title and one to four rows."""
+    content = F.coalesce(F.regexp_replace("text", "[.,] +", "\n"), F.lit(""))
+    title = F.concat(F.lit("A Glossary of "), c("source"))
+    docs = wide_table(spark, d, "documents", "doc_id", "source", "text")
+    sections = F.array(F.struct(F.when(c("doc_id") % 5 == 0, "Notes").otherwise(title).alias("heading"), content.alias("content")))
+    rows = F.transform(F.sequence(F.lit(1), (c("doc_id") % 4 + 1).cast("int")), lambda i: F.array(i.cast("string")))
+    pages = docs.select("doc_id", sections.alias("sections"), F.array(F.struct(title.alias("title"), rows.alias("rows"))).alias("tables"))
+    pages = pages.withColumn("new", R.glossary_tables(c("sections"), c("tables"), F.lit(1)))
+    cells = F.flatten(F.transform("new", lambda t: t["rows"]))
+    return pages.select(
+        "doc_id",
+        (F.size("new") > 0).alias("made"),
+        F.size(cells).cast("bigint").alias("n_rows"),
+        F.array_join(F.transform(cells, lambda r: F.concat(F.get(r, F.lit(0)), F.lit(" = "), F.get(r, F.lit(1)))), "\n").alias("pairs"),
+        F.get(R.clear_used_glossaries(c("sections"), c("new")), F.lit(0))["content"].alias("left_over"),
+    )
+
+
 @query(
     "typed_tables",
     """WITH p AS (SELECT *, p_partkey % 4 AS k, p_partkey % 3 + 1 AS n FROM part),
