@@ -337,6 +337,34 @@ def section_filter(spark, d):
     return known.select("doc_id", F.inline(V.filter_sections(sections, c("t")))).select("doc_id", "content")
 
 
+@query(
+    "heading_clash",
+    f"""WITH {Q_LINES}, f AS (SELECT doc_id, list_filter(list_transform(string_split(line, ' '), lambda w: {q_norm('w')}), lambda w: w <> '') AS t
+      FROM lines WHERE line_no = 1),
+    h AS (SELECT doc_id, line_no, array_to_string(string_split(line, ' ')[1:2], ' ') AS heading FROM lines WHERE line_no > 1),
+    k AS (SELECT h.*, t, {q_norm('heading')} AS head FROM h JOIN f ON h.doc_id = f.doc_id)
+    SELECT doc_id, count(*) FILTER (good) AS kept, coalesce(string_agg(heading, ' | ' ORDER BY line_no) FILTER (good), '') AS headings
+    FROM (SELECT *, head <> '' AND NOT list_contains(t, head) AND NOT list_has_any(string_split(head, ' '), t)
+        AND len(list_filter(string_split(head, ' '), lambda w: w <> '' AND NOT list_contains(string_split(array_to_string(t, ' '), ' '), w)
+          AND NOT regexp_full_match(w, '[-0-9.,]+'))) > 0 AS good FROM k)
+    GROUP BY doc_id""",
+)
+def heading_clash(spark, d):
+    """Each later line heads a section by its first two words; headings with a word of the table in the first line, or of such words alone, go."""
+    docs = wide_table(spark, d, "documents", "doc_id", "text").withColumn("l", T.nonblank_lines(c("text")))
+    none = F.array().cast("array<string>")
+    tables = F.array(
+        F.struct(F.lit("").alias("title"), none.alias("headers"), F.array(F.split(F.get("l", F.lit(0)), " ")).alias("rows"))
+    )
+    charts = F.array().cast("array<struct<title:string,x_values:array<string>,y_values:array<string>,series_values:array<string>>>")
+    rest = F.slice("l", F.lit(2), F.greatest(F.size("l") - 1, F.lit(0)))
+    heads = F.transform(rest, lambda x: F.array_join(F.slice(F.split(x, " "), 1, 2), " "))
+    sections = F.transform(heads, lambda h: F.struct(h.alias("heading"), F.lit("").alias("content")))
+    known = docs.where(F.size("l") > 1).withColumn("t", V.extracted_tokens(tables, charts))
+    kept = known.select("doc_id", V.filter_sections(sections, c("t")).alias("s"))
+    return kept.select("doc_id", F.size("s").cast("bigint").alias("kept"), F.array_join("s.heading", " | ").alias("headings"))
+
+
 @query(
     "local_lines_unmatched",
     f"""WITH {Q_LINES}, vocab AS (
