@@ -147,3 +147,19 @@ def test_stream_of_pages(spark, page_dir, tmp_path):
     query.awaitTermination(120)
     assert {r.page for r in spark.read.parquet(out).collect()} == {1, 2, 3}
     assert os.path.isdir(str(tmp_path / "stream-ckpt"))
+
+
+def test_glossary_sections_become_tables_once(spark):
+    """A table of the same title and size stands for the section; null and blank contents and other headings make none."""
+    from foliograph.operators.repair import clear_used_glossaries, glossary_tables
+
+    sections = [("Glossary", "NAV\nvalue of\na unit\nSIP\nsaved monthly"), ("GLOSSARY B", None), ("Notes", "NAV\nvalue"), (None, "SIP\nsaved"), ("Glossary C", " ")]
+    kind = "id int, sections array<struct<heading:string,content:string>>, tables array<struct<title:string,rows:array<array<string>>>>"
+    pages = [(1, sections, []), (2, sections, [("Glossary", [["x"]])]), (3, sections, [("Glossary", [["x"], ["y"]])]), (4, [], [])]
+    page = spark.createDataFrame(pages, kind).withColumn("new", glossary_tables(F.col("sections"), F.col("tables"), F.lit(7)))
+    rows = page.select("new", clear_used_glossaries(F.col("sections"), F.col("new")).alias("left")).orderBy("id").collect()
+    made = [[(t["title"], t["rows"], t["page_number"]) for t in r["new"]] for r in rows]
+    terms = [["NAV", "value of a unit"], ["SIP", "saved monthly"]]
+    assert made == [[("Glossary", terms, 7)], [("Glossary", terms, 7)], [], []]
+    assert [[s["content"] for s in r["left"]][:1] for r in rows] == [[""], [""], [sections[0][1]], []]
+    assert [s["content"] for s in rows[0]["left"]][1:] == [None, "NAV\nvalue", "SIP\nsaved", " "]
