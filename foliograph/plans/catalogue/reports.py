@@ -157,7 +157,7 @@ def rendering_choice(spark, d):
     "SELECT p_partkey, p_size AS width, CAST(p_partkey + 1 AS INTEGER) AS height FROM part",
 )
 def image_sizes(spark, d):
-    """Header bytes of a PNG, GIF or BMP of each part's size, read back."""
+    """Header bytes of a PNG, GIF or BMP of each part's size, read back; a GIF has two bytes a side, so larger ones are BMP."""
     w, h = c("p_size"), (c("p_partkey") + 1).cast("int")
 
     def big(x):
@@ -170,7 +170,7 @@ def image_sizes(spark, d):
     png = F.concat(F.lit("89504E470D0A1A0A0000000D49484452"), big(w), big(h))
     gif = F.concat(F.lit("474946383961"), little(w, 2), little(h, 2), F.lit("00000000000000000000000000000000"))
     bmp = F.concat(F.lit("424D" + "00" * 16), little(w, 4), little(h, 4))
-    content = F.unhex(F.when(kind == 0, png).when(kind == 1, gif).otherwise(bmp))
+    content = F.unhex(F.when(kind == 0, png).when((kind == 1) & (F.greatest(w, h) < 1 << 16), gif).otherwise(bmp))
     return table(spark, d, "part").select("p_partkey", S.image_size(content).alias("s")).select("p_partkey", "s.width", "s.height")
 
 
