@@ -35,7 +35,7 @@ def sort_lines(lines: Column) -> Column:
             F.bround(ln["y"], 2).alias("y"), F.bround(ln["x"], 1).alias("x"), i.alias("i"), ln.alias("line")
         ),
     )
-    return F.transform(F.array_sort(keyed), lambda k: k["line"])
+    return F.transform(F.sort_array(keyed), lambda k: k["line"])
 
 
 def lines_from_spans(span_lines: Column) -> Column:
@@ -133,10 +133,10 @@ def assemble_sections(flagged: Column) -> Column:
 
         def section(start: Column, end: Column) -> Column:
             at = F.when(is_heading(start), start + 1).otherwise(start)
-            texts = F.transform(F.slice(lines, at + 1, end - at), lambda ln: ln["text"])
+            texts = let(at, lambda a: F.transform(F.slice(lines, a + 1, end - a), lambda ln: ln["text"]))
             return F.struct(
                 F.when(is_heading(start), F.get(lines, start)["text"]).alias("heading"),
-                strip(squeeze(F.array_join(texts, "\n"))).alias("content"),
+                let(F.array_join(texts, "\n"), lambda t: strip(squeeze(t))).alias("content"),
             )
 
         every = let(starts, lambda s: F.transform(s, lambda start, k: section(start, F.coalesce(F.get(s, k + 1), n))))

@@ -25,10 +25,9 @@ c = F.col
 def laid_out(spark, d):
     """Documents with ``lines``: position, size and spans follow from each line's text."""
 
-    def one(text, i):
-        words = F.split(text, " ")
-        y = (i + 1) * 7.0 + (F.length(text) % 5) * 2.0
-        size = F.when(F.size(words) <= 3, 11.5).otherwise(10.0) + (F.length(text) % 3) * 0.2
+    def placed(text, words, y, size):
+        # Called with bound values: a span must not split its line again.
+        few = F.size(words) <= 3
         spans = F.transform(
             words,
             lambda w, k: F.struct(
@@ -36,7 +35,7 @@ def laid_out(spark, d):
                 (k * 40.0 + 50.0).alias("x"),
                 y.alias("y"),
                 size.alias("size"),
-                ((k % 2 == 0) | (F.size(words) <= 3)).alias("bold"),
+                ((k % 2 == 0) | few).alias("bold"),
                 F.lit("Plain").alias("font"),
             ),
         )
@@ -45,8 +44,15 @@ def laid_out(spark, d):
             F.lit(True).alias("bold"), spans.alias("spans"),
         )
 
-    docs = wide_table(spark, d, "documents", "doc_id", "text").withColumn("l", T.nonblank_lines(c("text")))
-    return docs.where(F.size("l") > 0).select("doc_id", L.sort_lines(F.transform("l", one)).alias("lines"))
+    def one(text, i):
+        words = F.split(text, " ")
+        y = (i + 1) * 7.0 + (F.length(text) % 5) * 2.0
+        size = lambda ws: F.when(F.size(ws) <= 3, 11.5).otherwise(10.0) + (F.length(text) % 3) * 0.2
+        return T.let(words, lambda ws: T.let(y, lambda at: T.let(size(ws), lambda s: placed(text, ws, at, s))))
+
+    # Tested on the raw text: a test of "l" would be pushed down and find the lines twice.
+    docs = wide_table(spark, d, "documents", "doc_id", "text").where(T.has_line(c("text")))
+    return docs.withColumn("l", T.nonblank_lines(c("text"))).select("doc_id", L.sort_lines(F.transform("l", one)).alias("lines"))
 
 
 Q_LAID = f"""{Q_LINES}, placed AS (
