@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from foliograph.functions.text import (
     is_numeric_token,
     let,
-    mostly_numeric,
+    mostly_numeric_words,
     norm_token,
     strip,
     text_or_empty,
     token_list,
+    words,
 )
 from foliograph.operators.ordered import lookup_join
 
@@ -51,16 +52,20 @@ def extracted_tokens(tables: Column, charts: Column) -> Column:
 def keep_line(line: Column, tokens: Column) -> Column:
     """Whether a local line says something the extracted tokens do not."""
 
-    def judge(own: Column) -> Column:
+    def judge(ws: Column, normed: Column, own: Column) -> Column:
         shared = F.size(F.array_intersect(own, tokens["whole"]))
         return (
             (F.size(own) > 0)
-            & ~F.array_contains(tokens["whole"], norm_token(line))
-            & ~mostly_numeric(line, tokens["numbers"])
             & (shared * 10 < F.size(own) * 6)
+            # joined, the normalised words are the normalised line
+            & ~F.array_contains(tokens["whole"], F.array_join(normed, " "))
+            & ~mostly_numeric_words(ws, tokens["numbers"])
         )
 
-    return let(token_list(line), judge)
+    return let(
+        words(line),
+        lambda ws: let(_normed(ws), lambda normed: let(F.array_distinct(normed), lambda own: judge(ws, normed, own))),
+    )
 
 
 def filter_sections(sections: Column, tokens: Column) -> Column:

@@ -331,7 +331,7 @@ def fallback_text(spark, d):
 )
 def section_filter(spark, d):
     """The words of the first line as table cells; later lines that repeat them go."""
-    docs = wide_table(spark, d, "documents", "doc_id", "text").withColumn("l", T.nonblank_lines(c("text")))
+    docs = wide_table(spark, d, "documents", "doc_id", "text").where(T.has_line(c("text"))).withColumn("l", T.nonblank_lines(c("text")))
     none = F.array().cast("array<string>")
     tables = F.array(
         F.struct(F.lit("").alias("title"), none.alias("headers"), F.array(F.split(F.get("l", F.lit(0)), " ")).alias("rows"))
@@ -339,7 +339,7 @@ def section_filter(spark, d):
     charts = F.array().cast("array<struct<title:string,x_values:array<string>,y_values:array<string>,series_values:array<string>>>")
     rest = F.array_join(F.slice("l", F.lit(2), F.greatest(F.size("l") - 1, F.lit(0))), "\n")
     sections = F.array(F.struct(F.lit("").alias("heading"), rest.alias("content")))
-    known = docs.where(F.size("l") > 0).withColumn("t", V.extracted_tokens(tables, charts))
+    known = docs.withColumn("t", V.extracted_tokens(tables, charts))
     return known.select("doc_id", F.inline(V.filter_sections(sections, c("t")))).select("doc_id", "content")
 
 

@@ -167,12 +167,12 @@ def upper_median_price(spark, d):
 )
 def table_similarity_dups(spark, d):
     """First line of a document as a new table header, the others as existing ones."""
-    from foliograph.functions.text import nonblank_lines
+    from foliograph.functions.text import has_line, nonblank_lines
 
-    docs = wide_table(spark, d, "documents", "doc_id", "text").withColumn("l", nonblank_lines(c("text")))
+    docs = wide_table(spark, d, "documents", "doc_id", "text").where(has_line(c("text"))).withColumn("l", nonblank_lines(c("text")))
     none = F.array().cast("array<array<string>>")
     heads = F.transform("l", lambda x: F.struct(F.split(x, " ").alias("headers"), none.alias("rows")))
-    shaped = docs.where(F.size("l") > 0).withColumn("t", heads)
+    shaped = docs.withColumn("t", heads)
     rest = F.slice(c("t"), F.lit(2), F.greatest(F.size("t") - 1, F.lit(0)))
     return shaped.select("doc_id", X.is_duplicate_table(F.get("t", F.lit(0)), rest).alias("duplicate"))
 
