@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ast
 import json
+import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -11,28 +12,31 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, StringType
 
+from foliograph.functions.text import let
 
 OPEN, CLOSE = "{[", "}]"
+MARK = re.compile(r'["{}\[\]]')
+REST_OF_STRING = re.compile(r'[^"\\]*(?:\\.[^"\\]*)*"', re.DOTALL)
 
 
 def balanced_spans(text: str) -> list[str]:
     """Outermost bracketed parts; brackets inside JSON strings do not count."""
-    found, depth, start, quoted, skip = [], 0, 0, False, False
-    for i, ch in enumerate(text):
-        if skip:
-            skip = False
-        elif quoted:
-            skip = ch == "\\"
-            quoted = ch != '"'
-        elif ch == '"' and depth:
-            quoted = True
-        elif ch in OPEN:
+    found, depth, start, at = [], 0, 0, 0
+    while mark := MARK.search(text, at):
+        i, at, ch = mark.start(), mark.end(), mark[0]
+        if ch in OPEN:
             start = start if depth else i
             depth += 1
-        elif ch in CLOSE and depth:
+        elif not depth:
+            continue
+        elif ch in CLOSE:
             depth -= 1
             if depth == 0:
-                found.append(text[start : i + 1])
+                found.append(text[start:at])
+        elif end := REST_OF_STRING.match(text, at):
+            at = end.end()
+        else:  # the string has no end
+            break
     return found
 
 
@@ -100,23 +104,26 @@ def merge_page_objects(objects: Column) -> Column:
         "struct<title:string,subtitle:string,narrative_text:string,page_number:string,"
         "tables:array<string>,charts:array<string>>"
     )
-    parsed = F.transform(objects, lambda o: F.from_json(o, shape))
-
-    def first(name: str) -> Column:
-        return F.get(F.filter(F.transform(parsed, lambda p: F.nullif(p[name], F.lit(""))), lambda v: v.isNotNull()), F.lit(0))
-
-    def every(name: str) -> Column:
-        return F.flatten(F.transform(parsed, lambda p: F.coalesce(p[name], F.array().cast("array<string>"))))
-
-    texts = F.filter(F.transform(parsed, lambda p: F.trim(p["narrative_text"])), lambda t: F.coalesce(t, F.lit("")) != "")
-    return F.struct(
-        first("title").alias("title"),
-        first("subtitle").alias("subtitle"),
-        F.nullif(F.array_join(texts, "\n\n"), F.lit("")).alias("narrative_text"),
-        first("page_number").alias("page_number"),
-        every("tables").alias("tables"),
-        every("charts").alias("charts"),
-    )
+
+    def merged(parsed: Column) -> Column:
+        def first(name: str) -> Column:
+            return F.get(F.filter(F.transform(parsed, lambda p: F.nullif(p[name], F.lit(""))), lambda v: v.isNotNull()), F.lit(0))
+
+        def every(name: str) -> Column:
+            return F.flatten(F.transform(parsed, lambda p: F.coalesce(p[name], F.array().cast("array<string>"))))
+
+        texts = F.filter(F.transform(parsed, lambda p: F.trim(p["narrative_text"])), lambda t: F.coalesce(t, F.lit("")) != "")
+        return F.struct(
+            first("title").alias("title"),
+            first("subtitle").alias("subtitle"),
+            let(F.array_join(texts, "\n\n"), lambda t: F.when(t != "", t)).alias("narrative_text"),
+            first("page_number").alias("page_number"),
+            every("tables").alias("tables"),
+            every("charts").alias("charts"),
+        )
+
+    # Bound, or each field would parse every object again.
+    return let(F.transform(objects, lambda o: F.from_json(o, shape)), merged)
 
 
 def richest_object(objects: Column) -> Column:
