@@ -22,26 +22,34 @@ from foliograph.plans.registry import (
 c = F.col
 
 
-def laid_out(spark, d):
-    """Documents with ``lines``: position, size and spans follow from each line's text."""
+SPAN = ("text", "x", "y", "size", "bold", "font")
+
+
+def laid_out(spark, d, span=SPAN):
+    """Documents with ``lines``: position, size and spans follow from each line's text.
+
+    A line has a span for every word, so a query names the span fields that it
+    reads, as it would name columns; with none, lines carry no spans.
+    """
 
     def placed(text, words, y, size):
         # Called with bound values: a span must not split its line again.
         few = F.size(words) <= 3
-        spans = F.transform(
-            words,
-            lambda w, k: F.struct(
-                w.alias("text"),
-                (k * 40.0 + 50.0).alias("x"),
-                y.alias("y"),
-                size.alias("size"),
-                ((k % 2 == 0) | few).alias("bold"),
-                F.lit("Plain").alias("font"),
-            ),
-        )
+
+        def one(w, k):
+            made = {
+                "text": lambda: w,
+                "x": lambda: k * 40.0 + 50.0,
+                "y": lambda: y,
+                "size": lambda: size,
+                "bold": lambda: (k % 2 == 0) | few,
+                "font": lambda: F.lit("Plain"),
+            }
+            return F.struct(*[made[n]().alias(n) for n in span])
+
+        spans = [F.transform(words, one).alias("spans")] if span else []
         return F.struct(
-            text.alias("text"), F.lit(50.0).alias("x"), y.alias("y"), size.alias("size"),
-            F.lit(True).alias("bold"), spans.alias("spans"),
+            text.alias("text"), F.lit(50.0).alias("x"), y.alias("y"), size.alias("size"), F.lit(True).alias("bold"), *spans
         )
 
     def one(text, i):
@@ -64,7 +72,7 @@ laid AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY y, line_no) A
 
 @query("line_sort", f"WITH {Q_LAID} SELECT doc_id, i, line FROM laid")
 def line_sort(spark, d):
-    rows = laid_out(spark, d).select("doc_id", F.posexplode(F.transform("lines", lambda ln: ln["text"])).alias("p", "line"))
+    rows = laid_out(spark, d, span=()).select("doc_id", F.posexplode(F.transform("lines", lambda ln: ln["text"])).alias("p", "line"))
     return rows.select("doc_id", (c("p") + 1).cast("bigint").alias("i"), "line")
 
 
@@ -81,7 +89,7 @@ def line_sort(spark, d):
     FROM walk k JOIN laid l ON l.doc_id = k.doc_id AND l.i = k.i GROUP BY k.doc_id, k.g""",
 )
 def line_merge(spark, d):
-    merged = laid_out(spark, d).select("doc_id", F.posexplode(L.merge_lines(c("lines"))).alias("p", "m"))
+    merged = laid_out(spark, d, span=("text",)).select("doc_id", F.posexplode(L.merge_lines(c("lines"))).alias("p", "m"))
     return merged.select(
         "doc_id",
         (c("p") + 1).cast("bigint").alias("g"),
@@ -107,7 +115,7 @@ flagged AS (
 
 @query("heading_flags", f"WITH {Q_FLAGGED} SELECT doc_id, i, heading FROM flagged")
 def heading_flags(spark, d):
-    rows = laid_out(spark, d).select("doc_id", F.posexplode(L.flag_headings(c("lines"))).alias("p", "f"))
+    rows = laid_out(spark, d, span=("bold",)).select("doc_id", F.posexplode(L.flag_headings(c("lines"))).alias("p", "f"))
     return rows.select("doc_id", (c("p") + 1).cast("bigint").alias("i"), c("f.heading").alias("heading"))
 
 
@@ -121,7 +129,7 @@ def heading_flags(spark, d):
     SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY s) AS section_no, heading, content FROM sections""",
 )
 def section_assembly(spark, d):
-    rows = laid_out(spark, d).select(
+    rows = laid_out(spark, d, span=("bold",)).select(
         "doc_id", F.posexplode(L.assemble_sections(L.flag_headings(c("lines")))).alias("p", "s")
     )
     return rows.select("doc_id", (c("p") + 1).cast("bigint").alias("section_no"), "s.heading", "s.content")
@@ -129,7 +137,7 @@ def section_assembly(spark, d):
 
 @query("page_sections")
 def page_sections(spark, d):
-    rows = laid_out(spark, d).select("doc_id", F.posexplode(L.page_sections(c("lines"))).alias("p", "s"))
+    rows = laid_out(spark, d, span=("bold",)).select("doc_id", F.posexplode(L.page_sections(c("lines"))).alias("p", "s"))
     return rows.select("doc_id", (c("p") + 1).cast("bigint").alias("section_no"), "s.heading", "s.content")
 
 
@@ -163,7 +171,7 @@ def heading_merge(spark, d):
 )
 def title_candidates(spark, d):
     """The first six lines alone, as the SQL has it."""
-    return titles_of(laid_out(spark, d), compat=True)
+    return titles_of(laid_out(spark, d, span=()), compat=True)
 
 
 def titles_of(pages, compat):
@@ -180,7 +188,7 @@ def titles_of(pages, compat):
     FROM best b LEFT JOIN second s ON b.doc_id = s.doc_id""",
 )
 def title_candidates_all_lines(spark, d):
-    return titles_of(laid_out(spark, d), compat=False)
+    return titles_of(laid_out(spark, d, span=()), compat=False)
 
 
 @query(
@@ -189,7 +197,7 @@ def title_candidates_all_lines(spark, d):
     FROM laid GROUP BY ALL""",
 )
 def rows_by_y(spark, d):
-    rows = laid_out(spark, d).select("doc_id", F.explode(L.rows_by_y(c("lines"))).alias("r"))
+    rows = laid_out(spark, d, span=("text",)).select("doc_id", F.explode(L.rows_by_y(c("lines"))).alias("r"))
     return rows.select("doc_id", "r.y", F.size("r.spans").cast("bigint").alias("n_spans"))
 
 
@@ -208,7 +216,7 @@ Q_BOX_X = "CAST(round_even(50.0 + 40.0 * (len(w) - 1), 0) AS INTEGER)"
 def glossary_box(spark, d):
     # Exploding drops the nulls; a filter would be pushed down and find each box twice.
     found = F.array_compact(F.array(L.glossary_box(c("lines"))))
-    boxes = laid_out(spark, d).select("doc_id", F.explode(found).alias("b"))
+    boxes = laid_out(spark, d, span=("text", "x")).select("doc_id", F.explode(found).alias("b"))
     return boxes.select("doc_id", "b.x0", "b.y0", "b.x1", "b.y1")
 
 
@@ -221,7 +229,7 @@ def glossary_box(spark, d):
     SELECT doc_id, 42 AS x0, greatest(0, min(y) - 6) AS y0, max(x) + 60 AS x1, max(y) + 18 AS y1 FROM r GROUP BY doc_id, g HAVING count(*) >= 3""",
 )
 def column_bands(spark, d):
-    boxes = laid_out(spark, d).select("doc_id", F.explode(L.column_bands(c("lines"))).alias("b"))
+    boxes = laid_out(spark, d, span=("x",)).select("doc_id", F.explode(L.column_bands(c("lines"))).alias("b"))
     return boxes.select("doc_id", "b.x0", "b.y0", "b.x1", "b.y1")
 
 
@@ -233,7 +241,7 @@ def column_bands(spark, d):
 )
 def heading_boxes(spark, d):
     """Five lines each, as the SQL has it."""
-    return heading_boxes_of(laid_out(spark, d), compat=True)
+    return heading_boxes_of(laid_out(spark, d, span=("x",)), compat=True)
 
 
 @query(
@@ -247,7 +255,7 @@ def heading_boxes(spark, d):
     GROUP BY h.doc_id, line_at, top""",
 )
 def heading_boxes_whole_tables(spark, d):
-    return heading_boxes_of(laid_out(spark, d), compat=False)
+    return heading_boxes_of(laid_out(spark, d, span=("x",)), compat=False)
 
 
 def heading_boxes_of(pages, compat):
@@ -318,7 +326,7 @@ def span_lines(spark, d):
 )
 def fallback_text(spark, d):
     plain = F.transform("lines", lambda ln: ln.withField("bold", F.lit(False)))
-    return laid_out(spark, d).select("doc_id", L.fallback_text(plain).alias("text"))
+    return laid_out(spark, d, span=()).select("doc_id", L.fallback_text(plain).alias("text"))
 
 
 @query(
