@@ -29,13 +29,15 @@ from foliograph.schema import LINE, SECTION
 
 def sort_lines(lines: Column) -> Column:
     """Reading order: by y to two places, then x to one, then input order."""
-    keyed = F.transform(
-        lines,
-        lambda ln, i: F.struct(
-            F.bround(ln["y"], 2).alias("y"), F.bround(ln["x"], 1).alias("x"), i.alias("i"), ln.alias("line")
-        ),
-    )
-    return F.transform(F.sort_array(keyed), lambda k: k["line"])
+
+    def ordered(lns: Column) -> Column:
+        # Positions are sorted in place of lines, so a line is copied once.
+        keyed = F.transform(
+            lns, lambda ln, i: F.struct(F.bround(ln["y"], 2).alias("y"), F.bround(ln["x"], 1).alias("x"), i.alias("i"))
+        )
+        return F.transform(F.sort_array(keyed), lambda k: F.get(lns, k["i"]))
+
+    return let(lines, ordered)
 
 
 def lines_from_spans(span_lines: Column) -> Column:

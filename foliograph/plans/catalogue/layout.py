@@ -29,38 +29,49 @@ def laid_out(spark, d, span=SPAN):
     """Documents with ``lines``: position, size and spans follow from each line's text.
 
     A line has a span for every word, so a query names the span fields that it
-    reads, as it would name columns; with none, lines carry no spans.
+    reads, as it would name columns; with none, lines carry no spans. They are
+    made once lines are in order, since whatever moves a line copies its spans;
+    fields that are the same in every line are made once a text.
     """
 
-    def placed(text, words, y, size):
-        # Called with bound values: a span must not split its line again.
-        few = F.size(words) <= 3
-
-        def one(w, k):
-            made = {
-                "text": lambda: w,
-                "x": lambda: k * 40.0 + 50.0,
-                "y": lambda: y,
-                "size": lambda: size,
-                "bold": lambda: (k % 2 == 0) | few,
-                "font": lambda: F.lit("Plain"),
-            }
-            return F.struct(*[made[n]().alias(n) for n in span])
-
-        spans = [F.transform(words, one).alias("spans")] if span else []
-        return F.struct(
-            text.alias("text"), F.lit(50.0).alias("x"), y.alias("y"), size.alias("size"), F.lit(True).alias("bold"), *spans
-        )
-
-    def one(text, i):
-        words = F.split(text, " ")
+    def line(text, n, i):
+        size = F.when(n <= 3, 11.5).otherwise(10.0) + (F.length(text) % 3) * 0.2
         y = (i + 1) * 7.0 + (F.length(text) % 5) * 2.0
-        size = lambda ws: F.when(F.size(ws) <= 3, 11.5).otherwise(10.0) + (F.length(text) % 3) * 0.2
-        return T.let(words, lambda ws: T.let(y, lambda at: T.let(size(ws), lambda s: placed(text, ws, at, s))))
+        facts = [text.alias("text"), F.lit(50.0).alias("x"), y.alias("y"), size.alias("size"), F.lit(True).alias("bold")]
+        return F.struct(*facts, *([n.alias("n")] if span else []))
+
+    def made(k, few, word=None, ln=None):
+        fields = {
+            "text": lambda: word,
+            "x": lambda: k * 40.0 + 50.0,
+            "y": lambda: ln["y"],
+            "size": lambda: ln["size"],
+            "bold": lambda: (k % 2 == 0) | few,
+            "font": lambda: F.lit("Plain"),
+        }
+        return F.struct(*[fields[f]().alias(f) for f in span])
+
+    def spanned(lines, spans):
+        facts = lambda ln: [ln[f].alias(f) for f in ("text", "x", "y", "size", "bold")]
+        return F.transform(lines, lambda ln: F.struct(*facts(ln), spans(ln).alias("spans")))
+
+    def with_spans(lines):
+        if "text" in span:
+            return spanned(lines, lambda ln: F.transform(F.split(ln["text"], " "), lambda w, k: made(k, ln["n"] <= 3, w, ln)))
+        if not {"x", "bold"} & set(span):
+            return spanned(lines, lambda ln: F.array_repeat(made(None, None, ln=ln), ln["n"]))
+        if {"y", "size"} & set(span):
+            return spanned(lines, lambda ln: F.transform(F.sequence(F.lit(0), ln["n"] - 1), lambda k: made(k, ln["n"] <= 3, ln=ln)))
+        most = F.array_max(F.transform(lines, lambda ln: ln["n"]))
+        row = lambda n, few: F.transform(F.sequence(F.lit(0), n - 1), lambda k: made(k, F.lit(few)))
+        of = lambda long, short: spanned(lines, lambda ln: F.slice(F.when(ln["n"] <= 3, short).otherwise(long), F.lit(1), ln["n"]))
+        return T.let(row(most, False), lambda long: T.let(row(F.lit(3), True), lambda short: of(long, short)))
 
     # Tested on the raw text: a test of "l" would be pushed down and find the lines twice.
     docs = wide_table(spark, d, "documents", "doc_id", "text").where(T.has_line(c("text")))
-    return docs.withColumn("l", T.nonblank_lines(c("text"))).select("doc_id", L.sort_lines(F.transform("l", one)).alias("lines"))
+    words = lambda text: F.octet_length(text) - F.octet_length(F.replace(text, F.lit(" "), F.lit(""))) + 1
+    lines = L.sort_lines(F.transform("l", lambda text, i: T.let(words(text), lambda n: line(text, n, i))))
+    return docs.withColumn("l", T.nonblank_lines(c("text"))).select("doc_id", (T.let(lines, with_spans) if span else lines).alias("lines"))
 
 
 Q_LAID = f"""{Q_LINES}, placed AS (
@@ -89,7 +100,7 @@ def line_sort(spark, d):
     FROM walk k JOIN laid l ON l.doc_id = k.doc_id AND l.i = k.i GROUP BY k.doc_id, k.g""",
 )
 def line_merge(spark, d):
-    merged = laid_out(spark, d, span=("text",)).select("doc_id", F.posexplode(L.merge_lines(c("lines"))).alias("p", "m"))
+    merged = laid_out(spark, d, span=("y",)).select("doc_id", F.posexplode(L.merge_lines(c("lines"))).alias("p", "m"))
     return merged.select(
         "doc_id",
         (c("p") + 1).cast("bigint").alias("g"),
@@ -197,7 +208,7 @@ def title_candidates_all_lines(spark, d):
     FROM laid GROUP BY ALL""",
 )
 def rows_by_y(spark, d):
-    rows = laid_out(spark, d, span=("text",)).select("doc_id", F.explode(L.rows_by_y(c("lines"))).alias("r"))
+    rows = laid_out(spark, d, span=("y",)).select("doc_id", F.explode(L.rows_by_y(c("lines"))).alias("r"))
     return rows.select("doc_id", "r.y", F.size("r.spans").cast("bigint").alias("n_spans"))
 
 
