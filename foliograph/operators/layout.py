@@ -392,21 +392,24 @@ def column_bands(lines: Column, min_rows: int = 3, gap: int = 20) -> Column:
     return let(wide, build)
 
 
-def heading_boxes(lines: Column, patterns: list[str], below: int = 4, compat: bool = False) -> Column:
+def heading_lines(lines: Column, patterns: list[str]) -> Column:
+    """Positions of the lines that match a pattern, whatever the case."""
+    hit = "(?i)" + "|".join(f"(?:{p})" for p in patterns)
+    marked = F.transform(lines, lambda ln, i: F.when(text_or_empty(ln["text"]).rlike(hit), i))
+    return F.array_compact(marked)
+
+
+def heading_boxes(lines: Column, patterns: list[str], below: int = 4, compat: bool = False, at: Column | None = None) -> Column:
     """Region of each line that matches a pattern and the table rows that begin at most ``below`` lines after it.
 
-    With ``compat``, or without such rows, it has the ``below`` lines.
+    With ``compat``, or without such rows, it has the ``below`` lines. Give the
+    :func:`heading_lines` as ``at`` where they are known.
     """
-    hit = "|".join(f"(?:{p})" for p in patterns)
-    at = F.filter(
-        F.transform(lines, lambda ln, i: F.struct(ln["text"].alias("text"), i.alias("i"))),
-        lambda m: text_or_empty(m["text"]).rlike("(?i)" + hit),
-    )
 
-    def one(m: Column, table: Column) -> Column:
-        g = region_lines(lines, table, m["i"], below)
+    def one(i: Column, table: Column) -> Column:
+        g = region_lines(lines, table, i, below)
         xs = F.transform(F.flatten(F.transform(g, lambda ln: ln["spans"])), lambda s: s["x"])
-        first = F.get(lines, m["i"])
+        first = F.get(lines, i)
         bottom = F.array_max(F.transform(g, lambda ln: ln["y"]))
         return F.when(
             F.size(xs) > 0,
@@ -418,7 +421,12 @@ def heading_boxes(lines: Column, patterns: list[str], below: int = 4, compat: bo
             ),
         )
 
-    return let(_table(lines, compat), lambda t: F.array_compact(F.transform(at, lambda m: one(m, t))))
+    def boxes(hits: Column) -> Column:
+        # Where no line matches, table rows are not looked for.
+        table = F.when(F.size(hits) > 0, _table(lines, compat))
+        return let(table, lambda t: F.array_compact(F.transform(hits, lambda i: one(i, t))))
+
+    return let(heading_lines(lines, patterns) if at is None else at, boxes)
 
 
 def is_empty_page(text: Column, n_images: Column, n_drawings: Column, n_annotations: Column) -> Column:

@@ -271,15 +271,13 @@ def heading_boxes_whole_tables(spark, d):
 
 def heading_boxes_of(pages, compat):
     pats = [r"\bthe the\b", r"\bde la\b"]
-    found = pages.select(
+    known = pages.withColumn("at", L.heading_lines(c("lines"), pats))
+    found = known.select(
         "doc_id",
         F.explode(
             F.arrays_zip(
-                F.filter(
-                    F.transform("lines", lambda ln, i: F.when(ln["text"].rlike("(?i)" + "|".join(f"(?:{p})" for p in pats)), i + 1)),
-                    lambda i: i.isNotNull(),
-                ).alias("line_at"),
-                L.heading_boxes(c("lines"), pats, compat=compat).alias("b"),
+                F.transform("at", lambda i: i + 1).alias("line_at"),
+                L.heading_boxes(c("lines"), pats, compat=compat, at=c("at")).alias("b"),
             )
         ).alias("z"),
     )

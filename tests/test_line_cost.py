@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from foliograph import constants as K
 from foliograph.functions import text as T
+from foliograph.operators import layout as L
 from foliograph.plans.catalogue import QUERIES
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -30,6 +31,22 @@ def test_words_are_counted_and_not_split(spark, pages, name):
     assert not re.search(r"split\(lambda [^()]*,  , -1\)", text)
 
 
+@pytest.mark.parametrize("name", ["heading_boxes", "heading_boxes_whole_tables"])
+def test_heading_pattern_is_sought_once(spark, pages, name):
+    assert plan(QUERIES[name](spark, pages)).count("the the") == 1
+
+
+def test_boxes_at_known_lines_are_those_of_the_pattern(spark):
+    lines = "array<struct<text:string,x:double,y:double,size:double,bold:boolean,spans:array<struct<x:double>>>>"
+    rows = [[(t, 50.0, 10.0 * k, 10.0, True, [(50.0,), (90.0,)][: len(t.split())]) for k, t in enumerate(page)] for page in (["a b", "Key", "c d"], ["x"], [])]
+    df = spark.createDataFrame([(r,) for r in rows], f"l {lines}")
+    for compat in (False, True):
+        found = L.heading_boxes(F.col("l"), ["key"], compat=compat)
+        known = L.heading_boxes(F.col("l"), ["key"], compat=compat, at=L.heading_lines(F.col("l"), ["key"]))
+        got = [(r.a, r.b) for r in df.select(found.alias("a"), known.alias("b")).collect()]
+        assert got[0][0] and all(a == b for a, b in got) and [len(a) for a, _ in got] == [1, 0, 0]
+
+
 def test_line_breaks_of_all_kinds(spark):
     odd = ["a\r\nb", "a\r\r\n\nb ", "\x0ba\x0cb\x1cc\x1dd\x1ee", "é ü ö\x85ä", "a\tb\n c\xa0\n　d", "\U0001f600\n\U0001f601 x\r", "", "\r", "a" * 3000 + "\n" * 3000 + "b"]
     got = spark.createDataFrame([(i, t) for i, t in enumerate([*odd, None])], "i int, t string").select("i", T.nonblank_lines(F.col("t")).alias("l")).collect()
