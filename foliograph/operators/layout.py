@@ -259,7 +259,7 @@ def glossary_box(lines: Column) -> Column:
         lines,
         lambda ln: F.struct(
             ln["y"].alias("y"),
-            F.transform(ln["spans"], lambda s: s["x"]).alias("xs"),
+            F.transform(F.slice(ln["spans"], 1, 2), lambda s: s["x"]).alias("xs"),
             ((F.size(ln["spans"]) >= 2) & (strip(text_or_empty(ln["text"])) != "")
              & (strip(text_or_empty(F.get(ln["spans"], F.lit(0))["text"])) != "")).alias("ok"),
         ),
